@@ -1,0 +1,2 @@
+"""Intentionally empty: the planning work is batch only (weekly horizons over
+finished daily tables), so there is no streaming operator to offer."""
