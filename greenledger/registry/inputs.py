@@ -65,6 +65,12 @@ SWEEP = {
     "base_process_capacity_trays_per_week": (3400.0, 6000.0),
     "base_labor_hours_per_week": (620.0, 1100.0),
 }
+#: Racks that every week fits, so that costs can be compared along them.
+MONOTONE = {
+    "rack_capacity_trays_per_week": (14000.0, 20000.0, 26000.0),
+    "base_process_capacity_trays_per_week": (4000.0, 6000.0),
+    "base_labor_hours_per_week": (700.0, 1100.0),
+}
 SWEEP_RATES = {"base_wage_per_hour": (20.0, 24.0), "price_factor": (1.0, 1.5)}
 
 

@@ -11,6 +11,7 @@ from greenledger.registry.inputs import (
     FACILITY,
     LATE_WEEKS,
     LOOSE,
+    MONOTONE,
     SEED,
     SWEEP,
     SWEEP_RATES,
@@ -397,22 +398,19 @@ def _values(name: str, values: tuple[float, ...], scaled: bool) -> str:
 
 
 def _sweep_ctes(p: str, knobs: dict[str, tuple[float, ...]], scaled: bool) -> None:
-    """Evaluate the rv week ledger under every scenario of a grid."""
+    """Evaluate the rv week ledger under every scenario of a grid. A grid of capacities
+    starts from the tight scenario, a grid of rates from the loose one."""
     grid = " CROSS JOIN ".join(_values(n, v, scaled) for n, v in knobs.items())
-    fixed = [n for n in ("rack", "process", "labor", "blocks", "shift_cost", "wage", "premium",
-                         "red", "disposal") if n not in knobs]
-    price = "price_per_kwh * price_factor AS price_per_kwh" if "price_factor" in knobs \
-        else "price_per_kwh"
+    fixed = ", ".join(n for n in ("rack", "process", "labor", "blocks", "shift_cost", "wage",
+                                  "premium", "red", "disposal") if n not in knobs)
+    price = "price_per_kwh"
+    if "price_factor" in knobs:
+        price = "price_per_kwh * price_factor AS price_per_kwh"
+    source = "scen" if scaled else "scen_loose"
     CTES[f"{p}_base"] = f"""
-    SELECT w.*, {', '.join(fixed)}, {', '.join(knobs)}, {price}
-    FROM rv_wk w JOIN dense_price USING (week_id) CROSS JOIN scen CROSS JOIN {grid}"""
-    if fixed != ["blocks", "shift_cost", "wage", "premium", "red", "disposal"]:
-        CTES[f"{p}_base"] = CTES[f"{p}_base"].replace("CROSS JOIN scen ", "CROSS JOIN scen_loose ")
-    # Columns of the scenario that the grid replaces are dropped before the join.
-    source = "scen" if "CROSS JOIN scen " in CTES[f"{p}_base"] else "scen_loose"
-    CTES[f"{p}_base"] = CTES[f"{p}_base"].replace(
-        f"CROSS JOIN {source} ", f"CROSS JOIN (SELECT {', '.join(fixed)} FROM {source}) "
-    )
+    SELECT w.*, {fixed}, {', '.join(knobs)}, {price}
+    FROM rv_wk w JOIN dense_price USING (week_id) CROSS JOIN (SELECT {fixed} FROM {source})
+    CROSS JOIN {grid}"""
     CTES[f"{p}_in"] = SHIFT_SQL.format(src=f"{p}_base")
     CTES[f"{p}_sh"] = SHIFT_OUT.format(src=f"{p}_in")
     CTES[f"{p}_ev"] = f"""
@@ -421,12 +419,18 @@ def _sweep_ctes(p: str, knobs: dict[str, tuple[float, ...]], scaled: bool) -> No
               AS total_cost FROM {p}_sh"""
 
 
-_sweep_ctes("cs", {"rack": SWEEP["rack_capacity_trays_per_week"],
-                   "process": SWEEP["base_process_capacity_trays_per_week"],
-                   "labor": SWEEP["base_labor_hours_per_week"]}, True)
-_sweep_ctes("rs", {"wage": SWEEP_RATES["base_wage_per_hour"],
-                   "price_factor": SWEEP_RATES["price_factor"]}, False)
+SHORT_NAMES = {
+    "rack_capacity_trays_per_week": "rack",
+    "base_process_capacity_trays_per_week": "process",
+    "base_labor_hours_per_week": "labor",
+    "base_wage_per_hour": "wage",
+    "price_factor": "price_factor",
+}
+for _p, _grid, _scaled in (("cs", SWEEP, True), ("ms", MONOTONE, True),
+                           ("rs", SWEEP_RATES, False)):
+    _sweep_ctes(_p, {SHORT_NAMES[n]: v for n, v in _grid.items()}, _scaled)
 CTES["cs_rated"] = certificate_sql("cs_ev", SWEEP_KEYS)
+CTES["ms_rated"] = certificate_sql("ms_ev", SWEEP_KEYS)
 CTES["rs_rated"] = certificate_sql("rs_ev", RATE_KEYS)
 
 
@@ -437,8 +441,8 @@ def _sweep_out(source: str, names: str) -> str:
             f"status IN ('optimal', 'feasible_gap') AS feasible FROM {source}")
 
 
-def _capacity_sweep(i: Inputs):
-    knobs = {name: [F.lit(v) * i.scale for v in values] for name, values in SWEEP.items()}
+def _capacity_sweep(i: Inputs, grid=SWEEP):
+    knobs = {name: [F.lit(v) * i.scale for v in values] for name, values in grid.items()}
     return selection.scenario_sweep(
         i.late_demand, i.params, i.price, i.scenario(), knobs, WEEKS
     )
@@ -483,11 +487,11 @@ def _(i: Inputs):
                {rnd('previous_cost', 'previous_cost')},
                coalesce(total_cost <= previous_cost + 1e-6{D}, true) AS monotone
         FROM (SELECT *, lag(total_cost) OVER (PARTITION BY process, labor ORDER BY rack)
-              AS previous_cost FROM cs_rated WHERE status IN ('optimal', 'feasible_gap'))""",
+              AS previous_cost FROM ms_rated WHERE status IN ('optimal', 'feasible_gap'))""",
 )
 def _(i: Inputs):
-    others = [name for name in SWEEP if name != "rack_capacity_trays_per_week"]
-    return selection.monotone_check(_capacity_sweep(i), others)
+    others = [name for name in MONOTONE if name != "rack_capacity_trays_per_week"]
+    return selection.monotone_check(_capacity_sweep(i, MONOTONE), others)
 
 
 # Outputs and reports --------------------------------------------------------------------------
@@ -526,15 +530,13 @@ def _(i: Inputs):
     return tables.read_json(i.spark, path, schemas.COST_BREAKDOWN)
 
 
-@query("json_scan", DEMAND_JSON_SQL := f"""
-    SELECT crop, week_id, {rnd('demand_lbs', 'demand_lbs')} FROM dense""")
+@query("json_scan", f"SELECT crop, week_id, {rnd('demand_lbs', 'demand_lbs')} FROM dense")
 def _(i: Inputs):
     path = tables.table_path(scratch_dir(i.spark), "demand_weekly", "json")
     tables.write_json(i.demand, path)
     return tables.read_json(i.spark, path, schemas.DEMAND_WEEKLY)
 
 
-CTES["jv_rated"] = certificate_sql("jv_ev")
 CTES["lv_rated"] = certificate_sql("lv_ev")
 
 
@@ -649,8 +651,7 @@ def _(i: Inputs):
 CTES["nv_rated"] = certificate_sql("nv_ev", "facility, ")
 
 
-@query("plan_certificate_by_facility", certificate_out("FROM nv_rated", "facility, ")
-       .replace("(FROM nv_rated)", "nv_rated"))
+@query("plan_certificate_by_facility", certificate_out("SELECT * FROM nv_rated", "facility, "))
 def _(i: Inputs):
     return selection.certify(_nation_weeks(i), FACILITY)
 
