@@ -92,29 +92,39 @@ def base_weights(seed: int, tag: str, keys: Sequence[str]) -> Column:
 
 
 def normalized(df: DataFrame, weight: str, by: Sequence[str]) -> DataFrame:
-    """Scale weights to sum 1 in each group. Groups are the crops of one week or the
-    days of one week, so a window never holds more rows than that."""
+    """Scale weights to sum 1 in each group, or 0 where all are 0. A group is the crops
+    of one week, so a window never holds more rows than that."""
     total = F.sum(weight).over(Window.partitionBy(*by))
-    return df.withColumn(weight, F.col(weight) / total)
+    return df.withColumn(weight, F.coalesce(F.try_divide(F.col(weight), total), F.lit(0.0)))
 
 
 def week_weights(
-    cells: DataFrame, seed: int, tag: str, jitter: tuple[float, float], keys: Sequence[str]
+    cells: DataFrame, seed: int, tag: str, jitter: tuple[float, float], keys: Sequence[str],
+    taking_part: Column | None = None,
 ) -> DataFrame:
-    """Base weight times weekly jitter, normalized over the crops of each week."""
+    """Base weight times weekly jitter, normalized over the crops of each week that
+    take part (all by default).
+
+    The rows are spread by week here: the windows need that grouping, and the days and
+    trays made from these rows later keep it.
+    """
     noise = noise_uniform(
         seed, f"{tag}_jitter", *_cols(keys), F.col("crop"), F.col("week_id"),
         low=jitter[0], high=jitter[1],
     )
-    weighted = cells.withColumn("weight", base_weights(seed, f"{tag}_base", keys) * noise)
-    return normalized(weighted, "weight", [*keys, "week_id"])
+    weight = base_weights(seed, f"{tag}_base", keys) * noise
+    if taking_part is not None:
+        weight = F.when(taking_part, weight).otherwise(0.0)
+    week = [*keys, "week_id"]
+    return normalized(spread(cells, *week).withColumn("weight", weight), "weight", week)
 
 
 def apportion(
     df: DataFrame, total: str, weight: str, by: Sequence[str], tie: str = "crop",
     out: str = "trays",
 ) -> DataFrame:
-    """Split an integer total over weights that sum to 1 by largest remainder."""
+    """Split an integer total over weights that sum to 1 by largest remainder; a weight
+    of 0 gets nothing."""
     group = Window.partitionBy(*by)
     whole = F.floor(F.col(total) * F.col(weight))
     # The remainder is rounded so that equal shares tie, and the tie goes by name.
@@ -125,7 +135,8 @@ def apportion(
             "_rank": F.row_number().over(group.orderBy(F.desc("_part"), F.asc(tie))),
         }
     )
-    extra = F.when(F.col("_rank") <= F.col("_left"), 1).otherwise(0)
+    takes_one = (F.col("_rank") <= F.col("_left")) & (F.col(weight) > 0)
+    extra = F.when(takes_one, 1).otherwise(0)
     return ranked.withColumn(out, (F.col("_whole") + extra).cast("long")).drop(
         "_whole", "_part", "_left", "_rank"
     )
@@ -148,33 +159,26 @@ def weekly_total_trays(limits: DataFrame, weeks: int, seed: int, keys: Sequence[
 def demand_shares(
     entities: DataFrame, params: DataFrame, weeks: int, seed: int, keys: Sequence[str]
 ) -> DataFrame:
-    """Eligible (keys.., crop, week) cells with their week total and normalized weight."""
+    """Every (keys.., crop, week) cell with its week total and normalized weight, 0 for
+    crops that cannot be harvested yet."""
     totals = weekly_total_trays(tray_limit(entities, params), weeks, seed, keys).select(
         *keys, "week_id", "total_trays", "safety_factor"
     )
-    cells = eligible(cross_crops(totals, params), params)
-    return week_weights(cells, seed, "demand", DEMAND_JITTER, keys)
+    cells = cross_crops(totals, params).join(params, "crop")
+    ripe = F.col("week_id") > F.col("g_min_weeks")
+    return week_weights(cells, seed, "demand", DEMAND_JITTER, keys, ripe)
 
 
 def synth_demand_weekly(
     entities: DataFrame, params: DataFrame, weeks: int, seed: int, keys: Sequence[str]
 ) -> DataFrame:
     """Weekly demand and its tray estimate; 0 while a crop cannot be harvested yet."""
-    split = apportion(
-        demand_shares(entities, params, weeks, seed, keys), "total_trays", "weight",
-        [*keys, "week_id"],
-    ).select(
+    shares = demand_shares(entities, params, weeks, seed, keys)
+    split = apportion(shares, "total_trays", "weight", [*keys, "week_id"])
+    return split.select(
         *keys, "crop", "week_id",
-        F.col("trays").alias("demand_trays_est"),
         (F.col("trays") * effective_yield() * F.col("safety_factor")).alias("demand_lbs"),
-    )
-    empty = cross_weeks(cross_crops(entities.select(*keys), params), weeks).select(
-        *keys, "crop", "week_id",
-        F.lit(0).cast("long").alias("demand_trays_est"), F.lit(0.0).alias("demand_lbs"),
-    )
-    return split.unionByName(empty).groupBy(*keys, "crop", "week_id").agg(
-        F.sum("demand_lbs").alias("demand_lbs"),
-        F.sum("demand_trays_est").alias("demand_trays_est"),
+        F.col("trays").alias("demand_trays_est"),
     )
 
 
@@ -209,7 +213,7 @@ def synth_price_daily(
     entities: DataFrame, start: str, weeks: int, seed: int, keys: Sequence[str]
 ) -> DataFrame:
     """Daily energy price: base, season and noise, with a floor."""
-    days = cross_days(entities, start, weeks)
+    days = cross_days(spread(entities, *keys) if keys else entities, start, weeks)
     shape = seasonal(F.col("week_id"), weeks, F.col("price_seasonality"))
     noise = F.lit(1.0) + noise_normal(
         seed, "price_noise", *_cols(keys), F.col("date"), std=F.col("price_noise_std")

@@ -177,45 +177,38 @@ def with_shift_choice(df: DataFrame) -> DataFrame:
     one with fewer hours. ``labor_cost_floor`` is the cheaper of both with overtime
     taken as free, a bound no plan with these hours can beat.
     """
-    wage, premium = F.col("base_wage_per_hour"), F.col("overtime_premium_per_hour")
-    df = df.withColumns({"_off": shift_hours(False), "_on": shift_hours(True)})
-    df = df.withColumns({"_ot_off": overtime_hours(F.col("_off")),
-                         "_ot_on": overtime_hours(F.col("_on"))})
-    plain_off = wage * F.col("_off")
-    plain_on = wage * F.col("_on") + F.col("shift_fixed_cost_per_week")
-    df = df.withColumns(
+    names = df.columns
+    options = df.withColumns(
         {
-            "_fits_off": overtime_fits(F.col("_ot_off")),
-            "_fits_on": overtime_fits(F.col("_ot_on")),
-            "_cost_off": plain_off + premium * F.col("_ot_off"),
-            "_cost_on": plain_on + premium * F.col("_ot_on"),
-            "labor_cost_floor": F.least(plain_off, plain_on),
+            "hours_off": shift_hours(False),
+            "hours_on": shift_hours(True),
+            "ceiling": overtime_ceiling() + CHECK_TOLERANCE,
         }
     )
-    on = (
-        F.when(F.col("_fits_off") & F.col("_fits_on"), F.col("_cost_on") < F.col("_cost_off"))
-        .when(F.col("_fits_off"), False)
-        .when(F.col("_fits_on"), True)
-        .otherwise(F.col("_on") < F.col("_off"))
-    )
-    df = df.withColumn("shift_on", on.cast("int"))
-    chosen = F.col("shift_on") == 1
-
-    def pick(off: str, on_: str) -> Column:
-        return F.when(chosen, F.col(on_)).otherwise(F.col(off))
-
-    return (
-        df.withColumns(
-            {
-                "labor_used_hours": pick("_off", "_on"),
-                "overtime_hours": pick("_ot_off", "_ot_on"),
-                "overtime_feasible": pick("_fits_off", "_fits_on"),
-                "labor_cost": pick("_cost_off", "_cost_on"),
-            }
-        )
-        .withColumn("overtime_blocks_enabled", overtime_blocks_used(F.col("overtime_hours")))
-        .drop("_off", "_on", "_ot_off", "_ot_on", "_fits_off", "_fits_on", "_cost_off", "_cost_on")
+    # Later columns of this select build on the earlier ones by name.
+    chosen = options.selectExpr(
+        *names,
+        "hours_off",
+        "hours_on",
+        "greatest(hours_off - base_labor_hours_per_week, 0D) AS over_off",
+        "greatest(hours_on - base_labor_hours_per_week, 0D) AS over_on",
+        "base_wage_per_hour * hours_off AS plain_off",
+        "base_wage_per_hour * hours_on + shift_fixed_cost_per_week AS plain_on",
+        "plain_off + overtime_premium_per_hour * over_off AS cost_off",
+        "plain_on + overtime_premium_per_hour * over_on AS cost_on",
+        """CASE WHEN over_off <= ceiling AND over_on <= ceiling THEN cost_on < cost_off
+                WHEN over_off <= ceiling THEN false
+                WHEN over_on <= ceiling THEN true
+                ELSE hours_on < hours_off END AS on""",
+        "CAST(on AS INT) AS shift_on",
+        "IF(on, hours_on, hours_off) AS labor_used_hours",
+        "IF(on, over_on, over_off) AS overtime_hours",
+        "overtime_hours <= ceiling AS overtime_feasible",
+        "IF(on, cost_on, cost_off) AS labor_cost",
+        "least(plain_off, plain_on) AS labor_cost_floor",
     )
+    blocks = overtime_blocks_used(F.col("overtime_hours")).alias("overtime_blocks_enabled")
+    return chosen.select(*names, *(n for n in SHIFT_OUTPUTS if n != "overtime_blocks_enabled"), blocks)
 
 
 def shift_choice(

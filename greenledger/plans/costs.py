@@ -105,16 +105,15 @@ def cost_disposal(
 
 def with_week_costs(df: DataFrame) -> DataFrame:
     """Cost parts of a week, from the ledger, the shift choice and scenario columns."""
-    df = df.withColumns(
-        {
-            "energy_cost": F.col("price_per_kwh") * F.col("energy_kwh"),
-            "labor_base_cost": F.col("base_wage_per_hour") * F.col("labor_used_hours"),
-            "overtime_premium_cost": F.col("overtime_premium_per_hour") * F.col("overtime_hours"),
-            "shift_fixed_cost": F.col("shift_fixed_cost_per_week") * F.col("shift_on"),
-            "disposal_cost": F.col("disposal_cost_per_lb_waste") * F.col("waste_lbs"),
-        }
+    return df.selectExpr(
+        "*",
+        "price_per_kwh * energy_kwh AS energy_cost",
+        "base_wage_per_hour * labor_used_hours AS labor_base_cost",
+        "overtime_premium_per_hour * overtime_hours AS overtime_premium_cost",
+        "shift_fixed_cost_per_week * shift_on AS shift_fixed_cost",
+        "disposal_cost_per_lb_waste * waste_lbs AS disposal_cost",
+        f"{' + '.join(COST_PARTS)} AS total_cost",
     )
-    return df.withColumn("total_cost", sum((F.col(p) for p in COST_PARTS[1:]), F.col(COST_PARTS[0])))
 
 
 def evaluate_weeks(

@@ -14,7 +14,7 @@ from greenledger.plans.costs import evaluate_weeks, with_week_costs
 from greenledger.plans.ledger import crop_ledger, sum_weeks, valued_ledger, week_ledger
 from greenledger.plans.schedule import back_schedule
 from greenledger.session import spread
-from greenledger.sources.parameters import SCENARIO_COLUMNS, Scenario, attach_scenario
+from greenledger.sources.parameters import RATING_COLUMNS, Scenario, attach_scenario
 
 GAP_TOLERANCE = 1e-6
 
@@ -100,10 +100,10 @@ def expand_scenarios(
 
     A knob is a scenario field or ``price_factor``, which scales the energy price.
     """
-    unknown = set(knobs) - set(SCENARIO_COLUMNS) - {"price_factor"}
+    unknown = set(knobs) - set(RATING_COLUMNS) - {"price_factor"}
     if unknown:
         raise ValueError(f"not a knob: {sorted(unknown)}")
-    fixed = {n: c for n, c in base.as_columns().items() if n not in knobs}
+    fixed = {n: c for n, c in base.as_columns(RATING_COLUMNS).items() if n not in knobs}
     df = df.withColumns(fixed)
     for name, values in knobs.items():
         items = [v.cast("double") if isinstance(v, Column) else F.lit(float(v)) for v in values]
@@ -240,12 +240,14 @@ def policy_sweep(
 ) -> DataFrame:
     """The cheapest feasible policy (lowest code on a tie) and how many were feasible."""
     rated = evaluate_policies(demand, params, price, scen, weeks, keys)
-    best = F.when(F.col("feasible"), F.struct(F.round("total_cost", 6).alias("c"), "policy"))
+    # Costs that differ only by the order of addition must tie, so they are rounded.
+    ranked = F.struct(F.round("total_cost", 4).alias("rank_cost"), "policy", "total_cost")
+    best = F.when(F.col("feasible"), ranked)
     return rated.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("policies"),
         F.count_if("feasible").alias("feasible_policies"),
         F.min(best).alias("_best"),
     ).select(
         *keys, "policies", "feasible_policies",
-        F.col("_best.policy").alias("best_policy"), F.col("_best.c").alias("best_cost"),
+        F.col("_best.policy").alias("best_policy"), F.col("_best.total_cost").alias("best_cost"),
     )

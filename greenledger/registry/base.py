@@ -9,16 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from greenledger.registry.inputs import Inputs
-from greenledger.registry.sql import with_ctes
+from greenledger.registry.sql import FINE_COLUMNS, with_ctes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles at six places, so that engines may add in any order."""
+    """Doubles at fixed places, so that engines may add in any order."""
+
+    def places(name: str):
+        value = F.col(name)
+        if name in FINE_COLUMNS:
+            return F.round(value, 9) + F.lit(0.0)
+        short = F.when(F.abs(value) < 1e6, F.round(value, 6)).otherwise(F.round(value, 3))
+        return short + F.lit(0.0)
+
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
-    return df.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in doubles}) if doubles else df
+    return df.withColumns({name: places(name) for name in doubles}) if doubles else df
 
 
 def query(name: str, sql: str | None):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from greenledger.plans import audit, capacity, costs, feasibility, jobs, ledger, report, selection
 from greenledger.plans import schedule
@@ -464,8 +465,8 @@ def _(i: Inputs):
     "policy_sweep",
     f"""SELECT count(*) AS policies, count(*) FILTER (feasible) AS feasible_policies,
                arg_min(policy, (c, policy)) FILTER (feasible) AS best_policy,
-               min(c) FILTER (feasible) AS best_cost
-        FROM (SELECT *, round(total_cost, 6) AS c, status IN ('optimal', 'feasible_gap')
+               {rnd("arg_min(total_cost, (c, policy)) FILTER (feasible)", "best_cost")}
+        FROM (SELECT *, round(total_cost, 4) AS c, status IN ('optimal', 'feasible_gap')
               AS feasible FROM pol_rated)""",
 )
 def _(i: Inputs):
@@ -663,11 +664,11 @@ def _(i: Inputs):
     "run_aggregate",
     f"""SELECT 'demand_weekly' AS table_name, crop, week_id, {rnd('demand_lbs', 'value')}
         FROM demand_weekly
-        UNION ALL SELECT 'energy_price_weekly', NULL, week_id, round(price_per_kwh, 6)
+        UNION ALL SELECT 'energy_price_weekly', NULL, week_id, {rnd('price_per_kwh', 'value')}
         FROM price_weekly
-        UNION ALL SELECT 'telemetry_weekly', crop, week_id, round(sum(kwh_used), 6)
+        UNION ALL SELECT 'telemetry_weekly', crop, week_id, {rnd('sum(kwh_used)', 'value')}
         FROM tele_rows GROUP BY ALL
-        UNION ALL SELECT 'crop_params', crop, NULL, round(yield_lbs_per_tray, 6) FROM used_params""",
+        UNION ALL SELECT 'crop_params', crop, NULL, {rnd('yield_lbs_per_tray', 'value')} FROM used_params""",
 )
 def _(i: Inputs):
     base = scratch_dir(i.spark)
@@ -702,11 +703,11 @@ def _stacked(i: Inputs, out: str, keys: tuple[str, ...] = ()):
     "run_generate_aggregate",
     f"""SELECT facility, 'demand_weekly' AS table_name, crop, week_id, {rnd('demand_lbs', 'value')}
         FROM fac_demand
-        UNION ALL SELECT facility, 'energy_price_weekly', NULL, week_id, round(price_per_kwh, 6)
+        UNION ALL SELECT facility, 'energy_price_weekly', NULL, week_id, {rnd('price_per_kwh', 'value')}
         FROM fac_price
-        UNION ALL SELECT facility, 'telemetry_weekly', crop, week_id, round(sum(kwh_used), 6)
+        UNION ALL SELECT facility, 'telemetry_weekly', crop, week_id, {rnd('sum(kwh_used)', 'value')}
         FROM synth_counts GROUP BY ALL
-        UNION ALL SELECT NULL, 'crop_params', crop, NULL, round(yield_lbs_per_tray, 6) FROM params""",
+        UNION ALL SELECT NULL, 'crop_params', crop, NULL, {rnd('yield_lbs_per_tray', 'value')} FROM params""",
 )
 def _(i: Inputs):
     base = scratch_dir(i.spark)
@@ -734,7 +735,5 @@ def _(i: Inputs):
     paths = jobs.run_all(
         i.spark, base, i.params, i.facilities, SYNTH_START, SYNTH_WEEKS, SEED, FACILITY, "counts"
     )
-    from pyspark.sql.types import LongType, StructField, StructType
-
     schema = StructType([StructField("facility", LongType()), *schemas.REPORT_SUMMARY.fields])
     return tables.read_json(i.spark, paths["report_summary"], schema)

@@ -28,8 +28,25 @@ CTES: dict[str, str] = {}
 D = "::DOUBLE"
 
 
+#: Ratios and prices, which are compared at nine places: at six, exact decimals such
+#: as 0.9856875 would be ties that engines round apart.
+FINE_COLUMNS = frozenset(
+    ["price_per_kwh", "energy_price_per_kwh", "weight", "share_of_week"]
+    + [f"{p}{kind}_utilization" for p in ("", "avg_") for kind in ("rack", "labor", "process")]
+)
+
+
+def places(expr: str, name: str) -> str:
+    """Round as ``base.rounded`` does: six places, three for a million and more, since
+    sums that large differ in the seventh place with the order of addition."""
+    if name in FINE_COLUMNS:
+        return f"round({expr}, 9) + 0.0::DOUBLE"
+    return (f"(CASE WHEN abs({expr}) < 1e6::DOUBLE THEN round({expr}, 6) "
+            f"ELSE round({expr}, 3) END) + 0.0::DOUBLE")
+
+
 def rnd(expr: str, name: str) -> str:
-    return f"round({expr}, 6) + 0.0::DOUBLE AS {name}"
+    return f"{places(expr, name)} AS {name}"
 
 
 def with_ctes(final: str) -> str:

@@ -93,9 +93,8 @@ def _(i: Inputs):
     f"SELECT facility, week_id, crop, {rnd('weight', 'weight')} FROM demand_weights",
 )
 def _(i: Inputs):
-    return synth.demand_shares(i.facilities, i.params, *ARGS).select(
-        "facility", "week_id", "crop", "weight"
-    )
+    shares = synth.demand_shares(i.facilities, i.params, *ARGS)
+    return shares.filter("weight > 0").select("facility", "week_id", "crop", "weight")
 
 
 @query(
@@ -104,7 +103,8 @@ def _(i: Inputs):
 )
 def _(i: Inputs):
     shares = synth.demand_shares(i.facilities, i.params, *ARGS)
-    return synth.apportion(shares, "total_trays", "weight", ["facility", "week_id"]).select(
+    split = synth.apportion(shares, "total_trays", "weight", ["facility", "week_id"])
+    return split.filter("weight > 0").select(
         "facility", "week_id", "crop", "total_trays", "trays"
     )
 
@@ -175,9 +175,9 @@ def _(i: Inputs):
                {rnd('sum(demand_lbs)', 'total')} FROM synth_daily GROUP BY ALL
         UNION ALL
         SELECT facility, week_id, 'prices_energy_daily', count(*),
-               round(sum(energy_price_per_kwh), 6) FROM synth_prices GROUP BY ALL
+               {rnd('sum(energy_price_per_kwh)', 'total')} FROM synth_prices GROUP BY ALL
         UNION ALL
-        SELECT facility, week_id, 'telemetry_tray_daily', count(*), round(sum(kwh_used), 6)
+        SELECT facility, week_id, 'telemetry_tray_daily', count(*), {rnd('sum(kwh_used)', 'total')}
         FROM synth_counts GROUP BY ALL""",
 )
 def _(i: Inputs):

@@ -16,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python line of every expression costs most of the planning time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -77,21 +77,24 @@ class Scenario:
     def with_(self, **changes) -> Scenario:
         return replace(self, **changes)
 
-    def as_columns(self) -> dict[str, Column]:
+    def as_columns(self, names: Sequence[str] | None = None) -> dict[str, Column]:
         """The setting as named columns; overtime blocks become one array."""
         out = {}
-        for field in fields(self):
-            value = getattr(self, field.name)
+        for name in names or SCENARIO_COLUMNS:
+            value = getattr(self, name)
             if isinstance(value, tuple):
                 items = [_double(v) for v in value]
-                out[field.name] = (F.array(*items) if items else F.array()).cast("array<double>")
+                out[name] = (F.array(*items) if items else F.array()).cast("array<double>")
             else:
-                out[field.name] = _double(value)
+                out[name] = _double(value)
         return out
 
 
 SCENARIO_COLUMNS = tuple(field.name for field in fields(Scenario))
 
+#: The fields a plan is rated by; the others only shape synthetic tables.
+RATING_COLUMNS = SCENARIO_COLUMNS[: SCENARIO_COLUMNS.index("disposal_cost_per_lb_waste") + 1]
+
 
 def _double(value: float | Column) -> Column:
     return value.cast("double") if isinstance(value, Column) else F.lit(float(value))
@@ -100,18 +103,18 @@ def _double(value: float | Column) -> Column:
 def attach_scenario(
     df: DataFrame, scen: Scenario | DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Put the scenario columns on every row.
+    """Put the scenario columns a plan is rated by on every row.
 
     A :class:`Scenario` is attached as literals. A scenario table, one row per
     key, is equi-joined on the keys it shares with ``keys``; Catalyst broadcasts
     it when its size allows and shuffles otherwise.
     """
     if isinstance(scen, Scenario):
-        return df.withColumns(scen.as_columns())
+        return df.withColumns(scen.as_columns(RATING_COLUMNS))
     on = [key for key in keys if key in scen.columns]
     if not on:
         raise ValueError("a scenario table needs at least one of the partition keys")
-    return df.join(scen, on)
+    return df.join(scen.select(*on, *RATING_COLUMNS), on)
 
 
 def scenario_table(entities: DataFrame, base: Scenario, **overrides: Column) -> DataFrame:
