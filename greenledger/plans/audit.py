@@ -7,14 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from greenledger.plans.capacity import (
-    overtime_ceiling,
-    process_usage,
-    rack_usage,
-    with_shift_choice,
-    labor_base,
+from greenledger.functions.columns import CHECK_TOLERANCE
+from greenledger.plans.capacity import overtime_ceiling, with_shift_choice
+from greenledger.plans.ledger import (
+    crop_ledger,
+    in_window,
+    sum_weeks,
+    valued_ledger,
+    wip_by_age,
 )
-from greenledger.plans.ledger import demand_balance, in_window, wip_by_age
 from greenledger.plans.schedule import planted as plantings_of
 from greenledger.sources.parameters import Scenario, attach_scenario
 
@@ -47,45 +48,71 @@ def constraint_audit(
     weeks: int, planted: DataFrame | None = None, init: DataFrame | None = None,
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Every broken constraint: kind, crop, week, age, value and limit."""
+    """Every broken constraint: kind, crop, week, age, value and limit.
+
+    Stock checks read one stock table, the other checks one ledger; each row names the
+    checks it breaks in one pass.
+    """
     if planted is None:
         planted = plantings_of(plan, keys)
     wip = wip_by_age(planted, plan, params, weeks, init, keys)
-    none_int, none_text = F.lit(None).cast("int"), F.lit(None).cast("string")
+    valued = valued_ledger(crop_ledger(plan, demand, weeks, keys), params, keys)
+    weekly = with_shift_choice(attach_scenario(sum_weeks(valued, keys), scen, keys))
 
-    def found(
-        df: DataFrame, kind: str, value: Column, limit: Column, crop: Column = none_text,
-        week: str = "week_id", age: Column = none_int,
-    ) -> DataFrame:
-        return df.select(
-            *keys, F.lit(kind).alias("kind"), crop.alias("crop"), F.col(week).alias("week_id"),
-            age.cast("int").alias("age"), value.cast("double").alias("value"),
+    def check(kind: str, broken: Column, value: Column, limit: Column) -> Column:
+        row = F.struct(
+            F.lit(kind).alias("kind"), value.cast("double").alias("value"),
             limit.cast("double").alias("limit"),
         )
+        return F.when(broken, row)
 
-    crop, age = F.col("crop"), F.col("age")
-    over = F.col("over_capacity")
-    labor = with_shift_choice(attach_scenario(labor_base(plan, params, weeks, keys), scen, keys))
-    window = audit_harvest_window(plan, params, keys).filter(
-        F.col("harvest_week").between(1, weeks)
+    def broken_rows(df: DataFrame, *checks: Column, age: Column | None = None,
+                    crop: Column | None = None) -> DataFrame:
+        no_crop, no_age = F.lit(None).cast("string"), F.lit(None)
+        return df.select(
+            *keys, (no_crop if crop is None else crop).alias("crop"), "week_id",
+            (no_age if age is None else age).cast("int").alias("age"),
+            F.explode(F.array_compact(F.array(*checks))).alias("found"),
+        ).select(*keys, "found.kind", "crop", "week_id", "age", "found.value", "found.limit")
+
+    crop, age, stock, nothing = F.col("crop"), F.col("age"), F.col("wip"), F.lit(0)
+    early = age < F.col("g_min_weeks")
+    harvested = in_window(plan, params, keys).withColumnRenamed("harvest_week", "week_id")
+    rack, process = F.col("rack_capacity_trays_per_week"), F.col(
+        "base_process_capacity_trays_per_week"
+    )
+    return (
+        broken_rows(
+            wip.join(params.select("crop", "g_max_weeks"), "crop"),
+            check("harvest_available", stock < 0, stock, nothing),
+            check("max_age_clear", (age >= F.col("g_max_weeks")) & (stock > 0), stock, nothing),
+            age=age, crop=crop,
+        )
+        .unionByName(
+            broken_rows(
+                harvested.filter(F.col("week_id").between(1, weeks) & (F.col("trays") > 0)),
+                check("harvest_window", ~F.col("in_window"), age,
+                      F.when(early, F.col("g_min_weeks")).otherwise(F.col("g_max_weeks"))),
+                age=age, crop=crop,
+            )
+        )
+        .unionByName(
+            broken_rows(
+                valued,
+                check("demand_balance", F.col("is_short"), F.col("produced_lbs"),
+                      F.col("demand_lbs")),
+                crop=crop,
+            )
+        )
+        .unionByName(
+            broken_rows(
+                weekly,
+                check("rack_capacity", F.col("trays_in_stock") > rack + CHECK_TOLERANCE,
+                      F.col("trays_in_stock"), rack),
+                check("process_capacity", F.col("trays_harvested") > process + CHECK_TOLERANCE,
+                      F.col("trays_harvested"), process),
+                check("labor_capacity", ~F.col("overtime_feasible"), F.col("overtime_hours"),
+                      overtime_ceiling()),
+            )
+        )
     )
-    edge = F.when(age < F.col("g_min_weeks"), F.col("g_min_weeks")).otherwise(F.col("g_max_weeks"))
-    parts = [
-        found(audit_harvest_available(wip), "harvest_available", F.col("wip"), F.lit(0), crop,
-              age=age),
-        found(window, "harvest_window", age, edge, crop, "harvest_week", age),
-        found(audit_max_age_clear(wip, params, keys), "max_age_clear", F.col("wip"), F.lit(0),
-              crop, age=age),
-        found(demand_balance(plan, demand, params, weeks, keys).filter("is_short"),
-              "demand_balance", F.col("produced_lbs"), F.col("demand_lbs"), crop),
-        found(rack_usage(plan, scen, weeks, keys).filter(over), "rack_capacity",
-              F.col("rack_used_trays"), F.col("rack_capacity_trays")),
-        found(process_usage(plan, scen, weeks, keys).filter(over), "process_capacity",
-              F.col("process_used_trays"), F.col("process_capacity_trays")),
-        found(labor.filter(~F.col("overtime_feasible")), "labor_capacity",
-              F.col("overtime_hours"), overtime_ceiling()),
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out

@@ -156,48 +156,38 @@ def wip_by_age(
 ) -> DataFrame:
     """Stock after harvest by crop, week and age.
 
-    Trays planted in one week (the cohort) keep ``week - age`` fixed, so stock is the
-    planting minus a running sum of the cohort's harvests. A cohort holds one row per
-    age, whatever the size of the tables. ``planted`` and ``harvested`` may disagree,
-    for audits.
+    Trays planted in one week (the cohort) keep ``week - age`` fixed. A planting adds
+    its trays to every age of its cohort and a harvest takes its trays from the ages
+    that follow it, so stock is one sum per cell: no recurrence, window or self-join.
+    ``planted`` and ``harvested`` may disagree, for audits.
     """
-    zero = F.lit(0).cast("long")
     cohort = [*keys, "crop", "cohort"]
-    stock = planted.select(*keys, "crop", F.col("plant_week").alias("cohort"), "trays")
+    planted_in = F.col("plant_week").alias("cohort")
+    changes = planted.select(
+        *keys, "crop", planted_in, F.col("plant_week").alias("since"), "trays"
+    ).unionByName(
+        harvested.select(
+            *keys, "crop", planted_in, F.col("harvest_week").alias("since"),
+            (-F.col("trays")).alias("trays"),
+        )
+    )
     if init is not None:
         lots = init.join(params.select("crop", "g_max_weeks"), "crop").filter(
             (F.col("age") >= 0) & (F.col("age") < F.col("g_max_weeks"))
         )
-        stock = stock.unionByName(
-            lots.select(*keys, "crop", (-F.col("age")).alias("cohort"), F.col("qty").alias("trays"))
+        started = -F.col("age")
+        changes = changes.unionByName(
+            lots.select(*keys, "crop", started.alias("cohort"), started.alias("since"),
+                        F.col("qty").alias("trays"))
         )
     top = params.agg(F.max("g_max_weeks")).scalar()
-    opening = stock.select(*cohort, F.col("cohort").alias("week_id"), F.col("trays").alias("change"))
-    removed = harvested.select(
-        *keys, "crop", F.col("plant_week").alias("cohort"),
-        F.col("harvest_week").alias("week_id"), (-F.col("trays")).alias("change"),
-    )
-    ages = (
-        opening.unionByName(removed)
-        .groupBy(*cohort)
-        .agg(F.count(F.lit(1)).alias("_events"))
-        .withColumn("_ages", F.sequence(F.lit(0), top))
-        .select(*cohort, F.explode("_ages").alias("age"))
-        .select(*cohort, (F.col("cohort") + F.col("age")).alias("week_id"), zero.alias("change"))
-    )
-    running = Window.partitionBy(*cohort).orderBy("week_id").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    age = F.col("week_id") - F.col("cohort")
+    week = F.col("cohort") + F.col("age")
     return (
-        opening.unionByName(removed).unionByName(ages)
-        .groupBy(*cohort, "week_id")
-        .agg(F.sum("change").alias("change"))
-        .withColumn("wip", F.sum("change").over(running))
-        .select(*keys, "crop", "week_id", age.alias("age"), "wip")
-        .withColumn("_top", top)
-        .filter(F.col("age").between(0, F.col("_top")) & F.col("week_id").between(1, weeks))
-        .drop("_top")
+        changes.withColumn("_ages", F.sequence(F.lit(0), top))
+        .select(*cohort, "since", "trays", F.explode("_ages").alias("age"))
+        .filter(week.between(1, weeks))
+        .groupBy(*keys, "crop", week.alias("week_id"), "age")
+        .agg(F.sum(_when_trays(week >= F.col("since"))).alias("wip"))
     )
 
 
