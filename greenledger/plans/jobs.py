@@ -6,6 +6,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from greenledger.operators.calendar import cross_weeks, crop_week_grid, week_grid
@@ -18,9 +19,10 @@ from greenledger.plans.costs import (
     solution_harvest,
     utilization_weekly,
 )
+from greenledger.plans.feasibility import issues_all
 from greenledger.plans.ledger import planting_by_week
 from greenledger.plans.report import report_lines, report_summary
-from greenledger.plans.schedule import back_schedule
+from greenledger.plans.schedule import back_schedule, initial_wip_fifo
 from greenledger.plans.selection import certify, plan_summary
 from greenledger.sources.parameters import Scenario, dedup_params
 from greenledger.sources.schemas import (
@@ -68,10 +70,12 @@ def aggregate_tables(
 def plan_and_write(
     spark: SparkSession, weekly_dir: str, out_dir: str, params: DataFrame,
     scen: Scenario | DataFrame, weeks: int, keys: Sequence[str] = (),
+    init: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Plan from the weekly tables and write the plan, its use, costs and summary.
+    """Plan from the weekly tables and write the issues, the plan, its use and costs.
 
-    With keys, ``scen`` is the scenario table and its keys span the grid.
+    With keys, ``scen`` is the scenario table and its keys span the grid. Initial stock,
+    if given, is used up before anything is planted.
     """
     sites = scen.select(*keys) if keys else None
     grid = crop_week_grid(params, weeks, sites)
@@ -85,20 +89,26 @@ def plan_and_write(
     # written once and read back.
     write_table(demand, out_dir, "demand_dense")
     demand = read_table(spark, out_dir, "demand_dense")
-    write_table(back_schedule(demand, params, keys), out_dir, "plan")
+    if init is None:
+        plan = back_schedule(demand, params, keys)
+    else:
+        plan = initial_wip_fifo(demand, init, params, keys)
+    write_table(plan, out_dir, "plan")
     plan = read_table(spark, out_dir, "plan")
     evaluated = evaluate_weeks(plan, demand, params, price, scen, weeks, keys)
     write_table(evaluated, out_dir, "weeks")
     evaluated = read_table(spark, out_dir, "weeks")
 
     outputs = {
+        "issues": issues_all(demand, params, scen, init, keys),
         "solution_planting": planting_by_week(plan, grid, keys),
         "solution_harvest": solution_harvest(plan, demand, params, weeks, keys),
         "utilization_weekly": utilization_weekly(evaluated, keys),
     }
     paths = {name: write_csv(df, table_path(out_dir, name, "csv")) for name, df in outputs.items()}
+    summary = plan_summary(certify(evaluated, keys, init is not None), keys)
     for name, df in (("cost_breakdown", cost_breakdown(evaluated, keys)),
-                     ("solve_summary", plan_summary(certify(evaluated, keys), keys))):
+                     ("solve_summary", summary.withColumn("outputs_dir", F.lit(out_dir)))):
         paths[name] = write_json(df, table_path(out_dir, name, "json"))
     return paths
 
@@ -145,6 +155,7 @@ def generate_and_aggregate(
 def run_all(
     spark: SparkSession, directory: str, params: DataFrame, scen: Scenario | DataFrame,
     start: str, weeks: int, seed: int, keys: Sequence[str] = (), mode: str = "rows",
+    init: DataFrame | None = None,
 ) -> dict[str, str]:
     """Generate, aggregate, plan and report: one site from a Scenario, or many from a
     scenario table with key columns."""
@@ -157,6 +168,6 @@ def run_all(
         spark, entities, params, directory, start, weeks, seed, keys, mode
     )
     weekly, out = f"{directory}/weekly", f"{directory}/outputs"
-    paths.update(plan_and_write(spark, weekly, out, params, scen, weeks, keys))
+    paths.update(plan_and_write(spark, weekly, out, params, scen, weeks, keys, init))
     paths.update(report_and_write(spark, weekly, out, params, weeks, keyed_by))
     return paths

@@ -55,17 +55,17 @@ def certify(
         ),
         F.count_if(~F.col("overtime_feasible")).alias("labor_over_weeks"),
     )
-    impossible = F.greatest("early_cells", "short_cells", "rack_over_weeks",
-                            "process_over_weeks") > 0
-    status = (
-        F.when(impossible, "infeasible_proven")
-        .when(F.col("labor_over_weeks") > 0, "undecided")
-        .when(F.col("gap") <= GAP_TOLERANCE, "optimal")
-        .otherwise("feasible_gap")
-    )
+    over_cap = F.greatest("short_cells", "rack_over_weeks", "process_over_weeks") > 0
+    short_of_labor = F.col("labor_over_weeks") > 0
     if initial_stock:
-        broken = impossible | (F.col("labor_over_weeks") > 0)
-        status = F.when(broken, "undecided").otherwise("feasible")
+        status = F.when(over_cap | short_of_labor, "undecided").otherwise("feasible")
+    else:
+        status = (
+            F.when(over_cap | (F.col("early_cells") > 0), "infeasible_proven")
+            .when(short_of_labor, "undecided")
+            .when(F.col("gap") <= GAP_TOLERANCE, "optimal")
+            .otherwise("feasible_gap")
+        )
     return summed.select(
         *keys, "total_cost", (F.col("total_cost") - F.col("gap")).alias("lower_bound"), "gap",
         "early_cells", "rack_over_weeks", "process_over_weeks", "labor_over_weeks",

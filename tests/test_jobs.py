@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from greenledger.plans import jobs, selection
 from greenledger.sources import schemas
-from greenledger.sources.parameters import Scenario
-from greenledger.sources.tables import read_csv, read_json, read_table
+from greenledger.sources.parameters import Scenario, initial_wip_table
+from greenledger.sources.tables import read_csv, read_json, read_table, write_table
 
 WEEKS, SEED, START = 12, 20260225, "2026-01-05"
 
@@ -50,6 +50,30 @@ def test_shipped_setting_is_planned_optimally_and_meets_demand(spark, run):
     assert sum(list(costs)[:7]) == pytest.approx(costs.total_cost)
 
 
+def test_no_issue_is_found(spark, run):
+    _, _, paths = run
+    assert spark.read.option("header", True).csv(paths["issues"]).count() == 0
+
+
+def test_run_with_initial_stock(spark, params, tmp_path):
+    """Stock covers demand that planting cannot reach; optimality is not claimed."""
+    weekly, out = str(tmp_path / "weekly"), str(tmp_path / "out")
+    demand = spark.createDataFrame([("kale", 2, 19.95), ("kale", 7, 19.95)],
+                                   "crop string, week_id int, demand_lbs double")
+    price = spark.createDataFrame([(1, 0.1)], "week_id int, price_per_kwh double")
+    write_table(demand, weekly, "demand_weekly")
+    write_table(price, weekly, "energy_price_weekly")
+    init = initial_wip_table(spark, {"kale": {4: 6, 3: 4}})
+    paths = jobs.plan_and_write(spark, weekly, out, params, Scenario(), 8, init=init)
+    plan = {tuple(r) for r in read_table(spark, out, "plan").select(
+        "plant_week", "harvest_week", "trays").collect()}
+    assert plan == {(-4, 2, 6), (-3, 2, 4), (2, 7, 10)}
+    summary = spark.read.json(paths["solve_summary"]).first()
+    assert summary.termination_condition == "feasible" and summary.outputs_dir == out
+    planting = read_csv(spark, paths["solution_planting"], schemas.SOLUTION_PLANTING)
+    assert planting.agg(F.sum("trays_planted")).first()[0] == 10
+
+
 def test_outputs_and_report(spark, run):
     _, base, paths = run
     usage = read_csv(spark, paths["utilization_weekly"], schemas.UTILIZATION_WEEKLY)
