@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from greenledger.functions.columns import effective_yield
 
+#: Longest horizon whose price table (16 bytes a week) is broadcast.
+MAX_BROADCAST_WEEKS = 100_000
+
 
 def rollup_demand(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return daily.groupBy(*keys, "crop", "week_id").agg(F.sum("demand_lbs").alias("demand_lbs"))
@@ -57,10 +60,23 @@ def join_params(df: DataFrame, params: DataFrame) -> DataFrame:
     return df.join(params, "crop")
 
 
-def join_price(df: DataFrame, price: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Attach the weekly price; the price table may or may not carry the keys."""
+def join_price(
+    df: DataFrame, price: DataFrame, keys: Sequence[str] = (), weeks: int | None = None
+) -> DataFrame:
+    """Attach the weekly price; the price table may or may not carry the keys.
+
+    A price per week alone, cut to the horizon and one row per week, cannot hold more
+    rows than the horizon has weeks. Only then is it broadcast, which keeps rows of
+    many facilities from being shuffled onto the few values of ``week_id``.
+    """
     on = [k for k in keys if k in price.columns] + ["week_id"]
-    return df.join(price.select(*on, "price_per_kwh"), on)
+    price = price.select(*on, "price_per_kwh")
+    if weeks is not None and weeks <= MAX_BROADCAST_WEEKS and on == ["week_id"]:
+        inside = price.filter(F.col("week_id").between(1, weeks))
+        price = F.broadcast(
+            inside.groupBy("week_id").agg(F.avg("price_per_kwh").alias("price_per_kwh"))
+        )
+    return df.join(price, on)
 
 
 def join_weekly_level(daily: DataFrame, weekly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -51,7 +51,7 @@ def energy_by_week(
         .agg(F.sum(F.col("trays_in_stock") * F.col("energy_kwh_per_tray_week"))
              .alias("energy_kwh"))
     )
-    return join_price(kwh, price, keys).select(
+    return join_price(kwh, price, keys, weeks).select(
         *keys, "week_id", "energy_kwh", "price_per_kwh",
         (F.col("price_per_kwh") * F.col("energy_kwh")).alias("energy_cost"),
     )

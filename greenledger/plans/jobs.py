@@ -80,10 +80,12 @@ def plan_and_write(
     sites = scen.select(*keys) if keys else None
     grid = crop_week_grid(params, weeks, sites)
     week_cells = cross_weeks(sites, weeks) if keys else week_grid(spark, weeks)
-    demand = densify_zero(read_table(spark, weekly_dir, "demand_weekly"), grid, "demand_lbs")
+    demand = densify_zero(
+        read_table(spark, weekly_dir, "demand_weekly"), grid, "demand_lbs", weeks
+    )
     price = densify_mean(
         read_table(spark, weekly_dir, "energy_price_weekly"), week_cells, "price_per_kwh",
-        keys=keys,
+        keys=keys, weeks=weeks,
     )
     # The dense demand, the plan and the evaluated weeks feed several outputs: each is
     # written once and read back.

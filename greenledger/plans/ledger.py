@@ -122,7 +122,7 @@ def week_ledger(
 ) -> DataFrame:
     """One row per week with everything a plan uses, and the energy price."""
     valued = valued_ledger(crop_ledger(plan, demand, weeks, keys), params, keys)
-    return join_price(sum_weeks(valued, keys), price, keys)
+    return join_price(sum_weeks(valued, keys), price, keys, weeks)
 
 
 def demand_balance(

@@ -226,7 +226,7 @@ def evaluate_policies(
                              F.floor(F.col("policies") / F.col("width")) - 1)).alias("index"),
     ).withColumn("policy", policy)
     weekly = sum_weeks(codes, [*keys, "policy"])
-    priced = attach_scenario(join_price(weekly, price, keys), scen, keys)
+    priced = attach_scenario(join_price(weekly, price, keys, weeks), scen, keys)
     rated = certify(with_week_costs(with_shift_choice(priced)), [*keys, "policy"])
     return rated.select(
         *keys, "policy", "total_cost",

@@ -136,14 +136,21 @@ class Inputs:
 
     # Raw daily tables -----------------------------------------------------------
 
-    def demand_lines(self, anchor: str = ANCHOR, weeks: int | None = None) -> DataFrame:
+    def demand_lines(
+        self, anchor: str = ANCHOR, weeks: int | None = None, first_week: int = 1
+    ) -> DataFrame:
         lines = self.given("lineitem").select(
             "l_partkey", "l_suppkey", "l_shipdate", F.col("l_quantity").alias("demand_lbs")
         )
         parts = self.given("part").select(
             F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("crop")
         )
-        return with_week_id(lines, "l_shipdate", anchor, weeks).join(parts, "l_partkey")
+        dated = with_week_id(lines, "l_shipdate", anchor, weeks, first_week)
+        return dated.join(parts, "l_partkey")
+
+    def lines_before(self) -> DataFrame:
+        """Lines of the six weeks before the late anchor (weeks -5 to 0)."""
+        return self.demand_lines(LATE_ANCHOR, weeks=0, first_week=-5)
 
     def demand_daily(self, weeks: int | None = None) -> DataFrame:
         return self.demand_lines(weeks=weeks).select(
@@ -194,7 +201,7 @@ class Inputs:
     def demand(self) -> DataFrame:
         """Dense weekly demand of the horizon."""
         daily = self.demand_daily(weeks=WEEKS)
-        return densify_zero(daily, self.crop_grid, "demand_lbs")
+        return densify_zero(daily, self.crop_grid, "demand_lbs", WEEKS)
 
     @cached_property
     def late_demand(self) -> DataFrame:
@@ -209,7 +216,9 @@ class Inputs:
     def price(self) -> DataFrame:
         """Dense weekly price of the horizon."""
         weekly = rollup_price(self.prices_daily(weeks=WEEKS))
-        return densify_mean(weekly, week_grid(self.spark, WEEKS), "price_per_kwh")
+        return densify_mean(
+            weekly, week_grid(self.spark, WEEKS), "price_per_kwh", weeks=WEEKS
+        )
 
     # Scenarios ------------------------------------------------------------------
 
@@ -258,8 +267,7 @@ class Inputs:
     @cached_property
     def initial_stock(self) -> DataFrame:
         """Lines of the six weeks before the late anchor, as stock by age."""
-        lines = self.demand_lines(LATE_ANCHOR).filter(F.col("week_id").between(-5, 0))
-        return lines.groupBy("crop", (-F.col("week_id")).cast("int").alias("age")).agg(
+        return self.lines_before().groupBy("crop", (-F.col("week_id")).cast("int").alias("age")).agg(
             F.sum("demand_lbs").cast("long").alias("qty")
         )
 
@@ -267,7 +275,9 @@ class Inputs:
     def demand_after_stock(self) -> DataFrame:
         """Dense weekly demand counted from the late anchor."""
         lines = self.demand_lines(LATE_ANCHOR, LATE_WEEKS)
-        return densify_zero(lines, crop_week_grid(self.params, LATE_WEEKS), "demand_lbs")
+        return densify_zero(
+            lines, crop_week_grid(self.params, LATE_WEEKS), "demand_lbs", LATE_WEEKS
+        )
 
     # Facilities -----------------------------------------------------------------
 
@@ -296,7 +306,7 @@ class Inputs:
             F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("facility")
         )
         grid = crop_week_grid(self.params, WEEKS, self.nations)
-        return densify_zero(lines.join(suppliers, "l_suppkey"), grid, "demand_lbs")
+        return densify_zero(lines.join(suppliers, "l_suppkey"), grid, "demand_lbs", WEEKS)
 
     def facility_weeks(self, weeks: int) -> DataFrame:
         return cross_weeks(self.facilities.select("facility"), weeks)

@@ -15,7 +15,6 @@ from greenledger.registry.base import query
 from greenledger.registry.inputs import (
     ANCHOR,
     FACILITY,
-    LATE_ANCHOR,
     WEEKS,
     Inputs,
 )
@@ -78,8 +77,7 @@ def _(i: Inputs):
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("facility")
     )
     lots = (
-        i.demand_lines(LATE_ANCHOR)
-        .filter(F.col("week_id").between(-5, 0))
+        i.lines_before()
         .join(suppliers, "l_suppkey")
         .groupBy("facility", "crop", (-F.col("week_id")).alias("age"))
         .agg(F.sum("demand_lbs").cast("long").alias("qty"))
@@ -140,10 +138,7 @@ def _(i: Inputs):
         rolled = rollup.rollup_telemetry(df)
         mode = rollup.telemetry_mode(df)
         name = "active_tray_rows" if mode == "rows" else "active_trays"
-        return rollup.rename_columns(rolled, {name: "tray_days"}).select(
-            F.lit(mode).alias("mode"), *rolled.drop(name).columns[:2], "tray_days",
-            "avg_stage_age_days", "kwh_used",
-        )
+        return rollup.rename_columns(rolled, {name: "tray_days"}).withColumn("mode", F.lit(mode))
 
     return weekly(i.telemetry_rows()).unionByName(weekly(i.telemetry_counts()))
 
@@ -298,7 +293,7 @@ def _(i: Inputs):
 )
 def _(i: Inputs):
     stock = ledger.occupancy(i.plan, WEEKS)
-    return rollup.join_price(stock, i.price).select(
+    return rollup.join_price(stock, i.price, weeks=WEEKS).select(
         "crop", "week_id", "trays_in_stock", "price_per_kwh"
     )
 

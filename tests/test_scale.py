@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from greenledger.operators import synth
 from greenledger.operators.calendar import restrict
 from greenledger.operators.rollup import rollup_demand
-from greenledger.plans import costs, selection
-from greenledger.plans.schedule import back_schedule
+from greenledger.plans import selection
+from greenledger.registry.catalog import QUERIES
 from greenledger.registry.inputs import WEEKS, Inputs
 from greenledger.session import scratch_dir
 from greenledger.sources import schemas
@@ -108,14 +108,31 @@ def test_synthetic_rows_are_spread_before_they_multiply(spark, params):
         assert len(used) == parts
 
 
-def test_shared_inputs_are_shuffled_once(spark, sf_dir):
-    i = Inputs(spark, sf_dir)
-    plan = back_schedule(i.demand, i.params)
-    text = executed(costs.cost_breakdown(
-        costs.evaluate_weeks(plan, i.demand, i.params, i.price, Scenario(), WEEKS)))
-    final = text.split("== Initial Plan ==")[0]
-    assert "ReusedExchange" in text
-    assert final.count("l_partkey") > 0
+def final_plan(df) -> str:
+    """The executed plan, without the initial plans of it and of its subqueries."""
+    top = executed(df).split("\n+- == Initial Plan ==")[0]
+    kept, skip = [], None
+    for line in top.splitlines():
+        indent = len(line) - len(line.lstrip(" :"))
+        if "== Initial Plan ==" in line:
+            skip = indent
+        elif skip is None or indent < skip:
+            skip = None
+            kept.append(line)
+    return "\n".join(kept)
+
+
+ONE_SCAN = ["cost_breakdown", "constraint_audit", "utilization_weekly", "scenario_sweep",
+            "policy_sweep", "plan_certificate_by_facility", "issue_rack_or_process_exact"]
+
+
+@pytest.mark.parametrize("name", ONE_SCAN)
+def test_big_tables_are_scanned_once(spark, sf_dir, name):
+    """Several operators share the weekly demand and price; their exchange is reused."""
+    plan = final_plan(QUERIES[name](spark, sf_dir))
+    assert len(re.findall(r"FileScan parquet \[l_", plan)) == 1
+    assert len(re.findall(r"FileScan parquet \[o_", plan)) <= 1
+    assert "ReusedExchange" in plan
 
 
 def test_sweep_expands_weeks_not_rows(spark, sf_dir):
