@@ -14,12 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from greenledger.operators.calendar import (
-    cross_weeks,
-    crop_week_grid,
-    week_grid,
-    with_week_id,
-)
+from greenledger.operators.calendar import crop_week_grid, week_grid, with_week_id
 from greenledger.operators.densify import densify_mean, densify_zero
 from greenledger.operators.rollup import rollup_demand, rollup_price
 from greenledger.plans.schedule import back_schedule, planted
@@ -307,6 +302,3 @@ class Inputs:
         )
         grid = crop_week_grid(self.params, WEEKS, self.nations)
         return densify_zero(lines.join(suppliers, "l_suppkey"), grid, "demand_lbs", WEEKS)
-
-    def facility_weeks(self, weeks: int) -> DataFrame:
-        return cross_weeks(self.facilities.select("facility"), weeks)

@@ -149,12 +149,14 @@ def select_crops(params: DataFrame, crops: Sequence[str]) -> DataFrame:
 def dedup_params(params: DataFrame) -> DataFrame:
     """One row per crop: the smallest row in column order, so the choice is stable.
 
-    ``min`` over a struct combines on the map side, so a crop repeated in a large
-    part of the rows costs one row per task in the shuffle.
+    Equal rows are merged first by a hash aggregate, on the map side as well, so a crop
+    repeated in a large part of the rows costs one row per task in the shuffle and only
+    differing rows are sorted for the minimum.
     """
     others = [c for c in params.columns if c != "crop"]
     return (
-        params.groupBy("crop")
+        params.distinct()
+        .groupBy("crop")
         .agg(F.min(F.struct(*others)).alias("first_row"))
         .select("crop", *(F.col(f"first_row.{c}").alias(c) for c in others))
         .select(*params.columns)
