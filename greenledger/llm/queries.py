@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from greenledger.llm import fingerprints, secrets
+from greenledger.llm import fingerprints, near_dups, secrets
 from greenledger.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,3 +27,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return secrets.digest(secrets.find_secrets(docs))
+
+
+@query
+def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))

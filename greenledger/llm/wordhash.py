@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer text is worked on alone.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C17
@@ -132,25 +132,36 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     return np.unique(window_hashes(words, min(width, len(words))))
 
 
-def circulant_signature(elements: np.ndarray, n_hashes: int) -> np.ndarray:
-    """Circulant MinHash: coordinate k is the least value of pi((sigma(x) - k) mod 2**32).
+def circulant_signatures(elements: np.ndarray, first: np.ndarray, n_hashes: int) -> np.ndarray:
+    """Circulant MinHash of the sets ``elements[first[i]:first[i + 1]]``, none of them empty.
 
-    ``sigma`` is the low half of the (already permuted) element hash; ``pi`` is one fixed
-    permutation of the 32-bit integers. No coordinate has a permutation of its own: each
-    is the one before, circularly shifted by a step.
+    Coordinate k of a set is the least ``pi((sigma(x) - k) mod 2**32)`` over its elements.
+    ``sigma`` is the low half of the element hash, which is already a random permutation;
+    ``pi`` is one fixed permutation of the 32-bit integers. No coordinate has a
+    permutation of its own: each uses the one before, circularly shifted by a step.
+    Returns ``n_hashes`` rows, one column per set.
     """
     sigma = elements.astype(np.uint32)
-    out = np.empty(n_hashes, np.uint32)
+    out = np.empty((n_hashes, len(first) - 1), np.uint32)
+    x, t = np.empty_like(sigma), np.empty_like(sigma)
     for k in range(n_hashes):
-        out[k] = permuted32(sigma - np.uint32(k + 1)).min()
+        np.subtract(sigma, np.uint32(k + 1), out=x)
+        for shift, factor in ((16, 0x7FEB352D), (15, 0x846CA68B), (16, 1)):
+            np.right_shift(x, np.uint32(shift), out=t)
+            np.bitwise_xor(x, t, out=x)
+            if factor != 1:
+                np.multiply(x, np.uint32(factor), out=x)
+        np.minimum.reduceat(x, first[:-1], out=out[k])
     return out
 
 
-def permuted32(x: np.ndarray) -> np.ndarray:
-    """A bijection of the 32-bit integers (in place on a fresh array)."""
-    x ^= x >> np.uint32(16)
-    x *= np.uint32(0x7FEB352D)
-    x ^= x >> np.uint32(15)
-    x *= np.uint32(0x846CA68B)
-    x ^= x >> np.uint32(16)
-    return x
+def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key for each ``rows`` coordinates: an array of sets by bands."""
+    bands = len(signatures) // rows
+    keys = np.empty((signatures.shape[1], bands), _U)
+    for band in range(bands):
+        total = np.full(signatures.shape[1], band + 1, _U)
+        for row in signatures[band * rows : (band + 1) * rows]:
+            total = mix64(total * _U(_BASE) + row.astype(_U))
+        keys[:, band] = total
+    return keys
