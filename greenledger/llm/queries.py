@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from greenledger.llm import fingerprints, near_dups, secrets
+from greenledger.llm import fingerprints, near_dups, secrets, toxicity
 from greenledger.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,3 +32,9 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.predictions(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
