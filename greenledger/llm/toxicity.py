@@ -40,7 +40,7 @@ PRIOR = 0.05
 #: Standard errors from which a log-odds is in the lexicon.
 SIGNIFICANT = 3.0
 #: What each token costs, so that ordinary text has a falling score.
-DRIFT = 1.0
+DRIFT = 2.0
 #: Expected number of ordinary segments as good, up to which a passage is reported.
 EXPECTED = 0.05
 #: Scores are multiples of this, so that their law can be counted.
