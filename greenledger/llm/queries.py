@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from greenledger.llm import fingerprints, near_dups, secrets, toxicity
+from greenledger.llm import fingerprints, near_dups, repeated_passages, secrets, toxicity
 from greenledger.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +39,9 @@ def op1_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return toxicity.predictions(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
+@query
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeated_passages.without_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

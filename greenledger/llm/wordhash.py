@@ -103,17 +103,23 @@ def split_words(data: np.ndarray, offsets: np.ndarray, fold_case: bool) -> Words
     return Words(data, start, end, hashed, np.searchsorted(start, offsets))
 
 
-def chunks(texts: pa.Array, fold_case: bool) -> Iterator[tuple[int, Words]]:
-    """The words of a column, a bounded number of bytes at a time, with the first row."""
-    data, offsets = _buffers(texts)
+def pieces(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose bytes are worked on at once."""
     at, rows = 0, len(offsets) - 1
     while at < rows:
         stop = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1
         stop = min(rows, max(stop, at + 1))
-        yield at, split_words(data, offsets[at : stop + 1], fold_case)
+        yield at, stop
         at = stop
 
 
+def chunks(texts: pa.Array, fold_case: bool) -> Iterator[tuple[int, Words]]:
+    """The words of a column, a bounded number of bytes at a time, with the first row."""
+    data, offsets = _buffers(texts)
+    for at, stop in pieces(offsets):
+        yield at, split_words(data, offsets[at : stop + 1], fold_case)
+
+
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     """A hash of every ``width`` consecutive word hashes (none when there are fewer)."""
     n = len(words) - width + 1
