@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from greenledger.llm import fingerprints, near_dups, repeated_passages, secrets, toxicity
+from greenledger.llm import fingerprints, languages, near_dups, repeated_passages, secrets, toxicity
 from greenledger.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeated_passages.without_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query
+def op4_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.predictions(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
