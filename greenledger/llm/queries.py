@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from greenledger.llm import fingerprints, languages, near_dups, repeated_passages, secrets, toxicity
+from greenledger.llm import (
+    benchmark_leaks, fingerprints, languages, near_dups, packing, repeated_passages, secrets, toxicity,
+)
 from greenledger.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +52,14 @@ def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predictions(read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@query
+def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_leaks.leaks(read(spark, sf_dir, "documents", "doc_id", "text"),
+                                 read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(read(spark, sf_dir, "documents", "doc_id", "text"))
