@@ -8,10 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.llm import (
-    benchmark_leaks, fingerprints, languages, near_dups, packing, repeated_passages, secrets, toxicity,
+    benchmark_leaks, fingerprints, languages, near_dups, packing, personal_data,
+    repeated_passages, secrets, toxicity,
 )
 from greenledger.llm.tables import read
 
+#: The key of the surrogates in the queries; a user gives a secret one.
+SURROGATE_KEY = "public example key"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -63,3 +67,13 @@ def op2_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.found(read(spark, sf_dir, "documents", "doc_id", "text"), SURROGATE_KEY)
+
+    def number(kind: str):
+        return F.size(F.filter("entities", lambda e: e["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", "text", *(number(k) for k in personal_data.KINDS))

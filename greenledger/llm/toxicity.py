@@ -235,29 +235,23 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> Model:
     return Model(words, rate, scale, offset, slope)
 
 
-def _scored(model: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Scores(model.lexicon)
-        for batch in batches:
-            score, passages = [], []
-            for text in batch.column("text"):
-                text = text.as_py() or ""
-                lowered = text.lower()
-                words = _WORD.findall(lowered)
-                found = segments(np.array([known[w] for w in words], np.float64))
-                x = evidence([s for _, _, s in found], len(words), model.rate, model.scale)
-                z = model.offset + model.slope * math.log1p(x)
-                score.append(1 / (1 + math.exp(-min(max(z, -40.0), 40.0))))
-                room = model.scale * max(len(words), 1)
-                good = [f for f in found if room * math.exp(-model.rate * f[2]) <= EXPECTED]
-                places = [m.span() for m in _WORD.finditer(lowered)] if good else []
-                passages.append([{"start": places[a][0], "end": places[b - 1][1], "score": s}
-                                 for a, b, s in good])
-            kept = batch.drop_columns(["text"])
-            kept = kept.append_column("score", pa.array(score, pa.float64()))
-            yield kept.append_column("passages", pa.array(passages, _PASSAGES))
-
-    return run
+def _judge(model: Model, texts: list[str | None]) -> tuple[list[float], list[list[dict]]]:
+    """Scores and significant passages of some texts."""
+    known = _Scores(model.lexicon)
+    score, passages = [], []
+    for text in texts:
+        lowered = (text or "").lower()
+        words = _WORD.findall(lowered)
+        found = segments(np.array([known[w] for w in words], np.float64))
+        x = evidence([s for _, _, s in found], len(words), model.rate, model.scale)
+        z = model.offset + model.slope * math.log1p(x)
+        score.append(1 / (1 + math.exp(-min(max(z, -40.0), 40.0))))
+        room = model.scale * max(len(words), 1)
+        good = [f for f in found if room * math.exp(-model.rate * f[2]) <= EXPECTED]
+        places = [m.span() for m in _WORD.finditer(lowered)] if good else []
+        passages.append([{"start": places[a][0], "end": places[b - 1][1], "score": s}
+                         for a, b, s in good])
+    return score, passages
 
 
 _PASSAGES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
@@ -265,20 +259,26 @@ _PASSAGES = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("sc
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, passages): every significant passage as places in the lower-cased text."""
-    schema = ("doc_id long, score double, "
-              "passages array<struct<start: long, end: long, score: double>>")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score, passages = _judge(model, batch.column("text").to_pylist())
+            yield pa.record_batch({"doc_id": batch.column("doc_id"),
+                                   "score": pa.array(score, pa.float64()),
+                                   "passages": pa.array(passages, _PASSAGES)})
+
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _scored(model), schema)
+        run, "doc_id long, score double, "
+             "passages array<struct<start: long, end: long, score: double>>")
 
 
 def without_toxic(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``least``; all columns are kept."""
-    columns = docs.columns
-    whole = docs.select(F.struct(*columns).alias("row"), "text")
-    schema = f"row {whole.schema['row'].dataType.simpleString()}, score double, " \
-             "passages array<struct<start: long, end: long, score: double>>"
-    judged = whole.mapInArrow(_scored(model), schema)
-    return judged.where(F.col("score") < least).select("row.*")
+    """The rows of ``docs`` that score below ``least``; all columns pass through."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score, _ = _judge(model, batch.column("text").to_pylist())
+            yield batch.filter(pa.array([s < least for s in score], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def predictions(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> DataFrame:
