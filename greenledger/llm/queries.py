@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.llm import (
-    benchmark_leaks, fingerprints, languages, near_dups, packing, personal_data,
+    benchmark_leaks, fingerprints, languages, licences, near_dups, packing, personal_data,
     repeated_passages, secrets, toxicity,
 )
 from greenledger.llm.tables import read
@@ -77,3 +77,8 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("entities", lambda e: e["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select("doc_id", "text", *(number(k) for k in personal_data.KINDS))
+
+
+@query
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(read(spark, sf_dir, "documents", "doc_id", "text"))
