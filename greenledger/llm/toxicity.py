@@ -86,24 +86,25 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score), in linear time, in order.
 
     Runs are kept on a stack with the running totals at their ends; a new one is joined
-    to the last that started lower and ended lower. Only tokens that score above zero
-    start a run, so ordinary text costs one vectorised pass.
+    to the last that started lower, if that ended lower too. Each run remembers the last
+    one that started lower than itself, so runs in between are never looked at again. Only
+    tokens above zero start a run, so ordinary text costs one vectorised pass.
     """
     total = np.concatenate(([0.0], np.cumsum(scores)))
-    stack: list[tuple[int, int, float, float]] = []
-    for at in np.flatnonzero(scores > 0):
-        run = (int(at), int(at) + 1, float(total[at]), float(total[at + 1]))
+    stack: list[tuple[int, int, float, float, int]] = []
+    for at in np.flatnonzero(scores > 0).tolist():
+        start, low, high = at, float(total[at]), float(total[at + 1])
+        k = len(stack) - 1
         while True:
-            k = len(stack) - 1
-            # Each entry passed over starts no lower, and stays only if it ends higher.
-            while k >= 0 and stack[k][2] >= run[2]:
-                k -= 1
-            if k < 0 or stack[k][3] >= run[3]:
-                stack.append(run)
+            while k >= 0 and stack[k][2] >= low:
+                k = stack[k][4]
+            if k < 0 or stack[k][3] >= high:
                 break
-            run = (stack[k][0], run[1], stack[k][2], run[3])
+            start, _, low, _, lower = stack[k]
             del stack[k:]
-    return [(a, b, high - low) for a, b, low, high in stack]
+            k = lower
+        stack.append((start, at + 1, low, high, k))
+    return [(a, b, high - low) for a, b, low, high, _ in stack]
 
 
 def evidence(scores: list[float], tokens: int, rate: float, scale: float) -> float:
