@@ -184,8 +184,8 @@ def near_duplicates(docs: DataFrame, percent: int = LINK_PERCENT, width: int = S
     groups = candidate_groups(reps.select("doc_id", "bands"))
     sizes = filled.groupBy("doc_id").agg(F.sum("n_shingles").alias("n_shingles"))
     roots = verified(groups, docs, sizes, width, percent, block_docs, block_shingles)
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(
-        F.coalesce("root", "rep", "doc_id"))
+    alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
+    component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("root", "rep", "doc_id"))
     known = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     # An empty set gets a key of its own, so that no task sees all empty texts.
     key = F.when(F.col("n_shingles") > 0, F.col("digest")).otherwise(
