@@ -31,7 +31,7 @@ from greenledger.llm import wordhash
 
 WINDOW_WORDS = 13
 #: Words in the groups whose least hash is the minimiser.
-GROUP_WORDS = 5
+GROUP_WORDS = 3
 #: Occurrences of a minimiser from which its windows are aggregated as rows.
 HOT = 100_000
 #: Occurrences in one batch from which a minimiser is counted at all.
@@ -40,7 +40,7 @@ COUNTED = 8
 BUCKET_BYTES = 16 << 20
 PACK_BYTES = 8 << 20
 #: A text's packed strings take about so many times its bytes.
-PACKED_PER_TEXT = 3.4
+PACKED_PER_TEXT = 3.0
 
 RANGES = "doc_id long, key long, low int, high int"
 BLOCKS = "bucket int, doc_id binary, key binary, at binary, size binary, packed binary"
@@ -99,7 +99,7 @@ def _pack(width: int, group: int, buckets: int, hot: np.ndarray):
         strings = [s for h in held for s in h[4]]
         order = np.argsort(bucket, kind="stable")
         cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3)
         rows: list[list] = [[] for _ in range(6)]
         for part in np.split(order, cuts):
             texts = [strings[i] for i in part]
