@@ -38,8 +38,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 STATES = len(ALPHABET) + 1
 #: At most so many labelled strings of a kind are learned from (those of least hash).
 TRAIN_STRINGS = 20000
-#: Added to every count of a step.
-SMOOTHING = 0.5
+#: Steps that the overall shares of the characters count for.
+BACKING = 20.0
 #: Mean log-likelihood ratio (natural) per step from which a token is a secret.
 THRESHOLD = 1.0
 
@@ -105,22 +105,31 @@ def labelled_strings(scanned: DataFrame, limit: int = TRAIN_STRINGS) -> DataFram
     return least("base", True).unionByName(least("tokens", False))
 
 
-def step_ratios(strings: DataFrame, smoothing: float = SMOOTHING) -> list[float]:
+def letters(value: Column) -> Column:
+    """The characters of a string; splitting leaves an empty one at the end."""
+    return F.slice(F.split(value, ""), F.lit(1), F.length(value))
+
+
+def step_ratios(strings: DataFrame, backing: float = BACKING) -> list[float]:
     """Log ratio of the chance of each step between two characters, random over ordinary.
 
+    A step's chance is its share among the steps from its first character, backed by the
+    overall share of its second one, so steps never seen count as rare as their characters.
     The steps are counted by Spark; what comes back is one row per pair of characters.
     """
-    state = F.transform(F.split("value", ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    state = F.transform(letters(F.col("value")), lambda c: F.instr(F.lit(ALPHABET), c))
     steps = strings.select("random", state.alias("s")).select("random", F.explode(F.transform(
         F.sequence(F.lit(1), F.size("s") - 1),
         lambda i: F.get("s", i - 1) * STATES + F.get("s", i))).alias("step"))
-    counts = [[smoothing] * (STATES * STATES) for _ in range(2)]
+    counts = [[0] * (STATES * STATES) for _ in range(2)]
     for row in steps.groupBy("random", "step").count().collect():
         counts[int(row["random"])][row["step"]] += row["count"]
     logs = []
     for table in counts:
-        totals = [math.log(sum(table[a * STATES:(a + 1) * STATES])) for a in range(STATES)]
-        logs.append([math.log(n) - totals[k // STATES] for k, n in enumerate(table)])
+        to = [sum(table[b::STATES]) + 0.5 for b in range(STATES)]
+        whole, leaving = sum(to), [sum(table[a * STATES:(a + 1) * STATES]) for a in range(STATES)]
+        logs.append([math.log((n + backing * to[k % STATES] / whole) / (leaving[k // STATES] + backing))
+                     for k, n in enumerate(table)])
     return [round(r - o, 4) for o, r in zip(*logs, strict=True)]
 
 
@@ -134,7 +143,7 @@ def mean_ratio(value: Column, ratios: list[float]) -> Column:
         more = F.when(acc["at"] < 0, F.lit(0.0)).otherwise(F.get(table, acc["at"] * STATES + at))
         return F.struct(at.alias("at"), (acc["sum"] + more).alias("sum"))
 
-    return F.aggregate(F.split(value, ""), start, step,
+    return F.aggregate(letters(value), start, step,
                        lambda acc: acc["sum"] / F.greatest(F.length(value) - 1, F.lit(1)))
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from greenledger.llm.tables import held_out
+from greenledger.llm.tables import held_out, written
 
 #: Labelled documents learned from at most: those of least hash.
 TRAIN_DOCS = 20000
@@ -150,12 +150,12 @@ def _count_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def lexicon(train: DataFrame, prior: float = PRIOR, least: float = SIGNIFICANT) -> dict[str, float]:
     """Significant positive log-odds by feature; counted over distinct texts."""
-    sizes = {r["toxic"]: r["n"] for r in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
+    counts = written(train.mapInPandas(
+        _count_features, "feature string, clean long, toxic long").groupBy("feature").agg(
+        F.sum("clean").alias("y0"), F.sum("toxic").alias("y1")))
+    n0, n1 = counts.agg(F.sum("y0"), F.sum("y1")).first()
+    if not n0 or not n1:
         return {}
-    n1, n0 = sizes[True], sizes[False]
-    counts = train.mapInPandas(_count_features, "feature string, clean long, toxic long").groupBy(
-        "feature").agg(F.sum("clean").alias("y0"), F.sum("toxic").alias("y1"))
     a, whole = (F.col("y0") + F.col("y1")) * prior, prior * (n0 + n1)
 
     def odds(y: str, n: int):
