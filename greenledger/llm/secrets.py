@@ -39,7 +39,7 @@ STATES = len(ALPHABET) + 1
 #: At most so many labelled strings of a kind are learned from (those of least hash).
 TRAIN_STRINGS = 20000
 #: Steps that the overall shares of the characters count for.
-BACKING = 20.0
+BACKING = 500.0
 #: Mean log-likelihood ratio (natural) per step from which a token is a secret.
 THRESHOLD = 1.0
 

@@ -202,7 +202,7 @@ def test_licences_of_planted_lines(spark):
     assert sum(got.values()) == len(rows) + len(ODD)
     assert got[(100, 1, 0, "MIT")] == 1 and got[(101, 1, 0, "Apache-2.0")] == 1
     assert got[(102, 2, 0, "CC-BY-NC,MIT")] == 2 and got[(None, 1, 0, "MIT")] == 1
-    assert all(got[(k, 0, 0, "")] == 1 for k in range(60)) and got[(2, 0, 0, "")]
+    assert all(got[(k, 0, 0, "")] >= 1 for k in range(60))
 
 
 def test_licences_of_an_empty_table(spark):
