@@ -9,9 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from greenledger.functions.columns import effective_yield
-
-#: Longest horizon whose price table (16 bytes a week) is broadcast.
-MAX_BROADCAST_WEEKS = 100_000
+from greenledger.operators.densify import DEFAULT_PRICE
 
 
 def rollup_demand(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -65,18 +63,24 @@ def join_price(
 ) -> DataFrame:
     """Attach the weekly price; the price table may or may not carry the keys.
 
-    A price per week alone, cut to the horizon and one row per week, cannot hold more
-    rows than the horizon has weeks. Only then is it broadcast, which keeps rows of
-    many facilities from being shuffled onto the few values of ``week_id``.
+    No row is lost and none doubled, whatever the horizon: several prices of a week
+    count as their mean, and a week without one takes the mean of the weeks that have
+    one (of its key; those of the horizon, if it is given), or the default without any.
     """
-    on = [k for k in keys if k in price.columns] + ["week_id"]
-    price = price.select(*on, "price_per_kwh")
-    if weeks is not None and weeks <= MAX_BROADCAST_WEEKS and on == ["week_id"]:
-        inside = price.filter(F.col("week_id").between(1, weeks))
-        price = F.broadcast(
-            inside.groupBy("week_id").agg(F.avg("price_per_kwh").alias("price_per_kwh"))
-        )
-    return df.join(price, on)
+    own = [k for k in keys if k in price.columns]
+    price = price.select(*own, "week_id", "price_per_kwh")
+    if weeks is not None:
+        price = price.filter(F.col("week_id").between(1, weeks))
+    each = price.groupBy(*own, "week_id").agg(F.avg("price_per_kwh").alias("price_per_kwh"))
+    joined = df.join(each, [*own, "week_id"], "left")
+    if own:
+        mean = each.groupBy(*own).agg(F.avg("price_per_kwh").alias("_mean_price"))
+        joined = joined.join(mean, own, "left")
+        fill = F.col("_mean_price")
+    else:
+        fill = each.agg(F.avg("price_per_kwh")).scalar()
+    filled = F.coalesce("price_per_kwh", fill, F.lit(DEFAULT_PRICE))
+    return joined.withColumn("price_per_kwh", filled).drop("_mean_price")
 
 
 def join_weekly_level(daily: DataFrame, weekly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from greenledger.operators.rollup import rollup_price
 from greenledger.plans import audit, capacity, costs, feasibility, jobs, ledger, report, selection
 from greenledger.plans import schedule
 from greenledger.registry.base import query
@@ -378,6 +379,13 @@ def _(i: Inputs):
     return selection.plan_certificate(i.late_demand, i.params, i.price, i.scenario(), WEEKS)
 
 
+@query("plan_certificate_price_gaps", certificate_out(certificate_sql("rv_ev")))
+def _(i: Inputs):
+    """The same from the weekly prices as they are: a week without one takes the mean."""
+    price = rollup_price(i.prices_daily())
+    return selection.plan_certificate(i.late_demand, i.params, price, i.scenario(), WEEKS)
+
+
 @query("plan_certificate_loose", certificate_out(certificate_sql("lv_ev")))
 def _(i: Inputs):
     return selection.plan_certificate(i.late_demand, i.params, i.price, i.scenario(LOOSE), WEEKS)

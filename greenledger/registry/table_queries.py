@@ -298,6 +298,21 @@ def _(i: Inputs):
     )
 
 
+@query(
+    "join_price_gaps",
+    f"""SELECT crop, o.week_id, stock AS trays_in_stock, {rnd(f"""coalesce(p.price_per_kwh, (
+            SELECT avg(price_per_kwh) FROM price_weekly WHERE week_id BETWEEN 1 AND {WEEKS}))""",
+            'price_per_kwh')}
+        FROM jv_occ o LEFT JOIN price_weekly p USING (week_id)""",
+)
+def _(i: Inputs):
+    """Stock under the weekly prices as they are, with weeks missing."""
+    stock = ledger.occupancy(i.plan, WEEKS)
+    return rollup.join_price(stock, rollup.rollup_price(i.prices_daily()), weeks=WEEKS).select(
+        "crop", "week_id", "trays_in_stock", "price_per_kwh"
+    )
+
+
 @query(
     "join_age_lag",
     """SELECT c.crop, c.week_id, c.age, c.wip, p.wip AS previous_wip

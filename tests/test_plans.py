@@ -330,3 +330,26 @@ def test_more_rack_never_costs_more(spark, two):
     assert sweep.count() == 6 and sweep.filter("NOT feasible").count() == 2
     check = selection.monotone_check(sweep, ["base_wage_per_hour"]).collect()
     assert len(check) == 4 and all(r.monotone for r in check)
+
+
+def test_price_gaps_and_repeats_change_no_status(spark, two):
+    """A missing price takes the mean, several count as one, with or without a horizon."""
+    demand = spark.createDataFrame(
+        [(c, w, 40.0) for c in (CROPS[0].crop, CROPS[1].crop) for w in range(6, 11)],
+        "crop string, week_id int, demand_lbs double")
+    full = [(w, 0.2) for w in range(1, 11)]
+    tables = {
+        "full": full,
+        "gaps": [r for r in full if r[0] not in (7, 8, 9)],
+        "twice": full + full,
+    }
+    scen = Scenario(rack_capacity_trays_per_week=20)
+    seen = set()
+    for rows in tables.values():
+        price = spark.createDataFrame(rows, PRICE)
+        for weeks in (None, 10):
+            r = selection.plan_certificate(demand, two, price, scen, weeks).first()
+            seen.add((round(r.total_cost, 6), r.status, r.rack_over_weeks))
+    assert len(seen) == 1
+    empty = spark.createDataFrame([], PRICE)
+    assert selection.plan_certificate(demand, two, empty, scen, 10).first().total_cost > 0
