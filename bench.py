@@ -33,8 +33,6 @@ HEADLINE = (
     "scenario_sweep",
     "policy_sweep",
     "report_summary",
-    "telemetry_counts",
-    "telemetry_rows",
     "run_aggregate",
     "run_all",
 )

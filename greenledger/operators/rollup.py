@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenledger.functions.columns import effective_yield
@@ -86,3 +86,18 @@ def join_price(
 def join_weekly_level(daily: DataFrame, weekly: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Attach the (week, crop) level to daily rows."""
     return daily.join(weekly, [*keys, "crop", "week_id"])
+
+
+def disaggregate_observed(
+    weekly: DataFrame, daily: DataFrame, value: str, observed: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Spread a weekly value over the days of its crop and week by their observed shares.
+
+    ``daily`` has one row per day and crop; a window holds the days of one crop and week.
+    """
+    week = [*keys, "crop", "week_id"]
+    total = F.sum(observed).over(Window.partitionBy(*week))
+    share = F.coalesce(F.try_divide(F.col(observed), total), F.lit(0.0))
+    return daily.withColumn("_share", share).join(weekly, week).select(
+        "date", *week, (F.col(value) * F.col("_share")).alias(observed)
+    )

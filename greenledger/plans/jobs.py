@@ -3,7 +3,7 @@ lost executor never recomputes more than one stage."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,26 +40,24 @@ from greenledger.sources.tables import (
     write_table,
 )
 
+DAILY = ("demand_daily", "prices_energy_daily", "crop_params", "telemetry_tray_daily")
 WEEKLY_CSV = ("demand_weekly", "energy_price_weekly", "crop_params")
 
 
-def aggregate_tables(
-    spark: SparkSession, raw_dir: str, out_dir: str, mode: str | None = None,
+def aggregate_frames(
+    spark: SparkSession, frames: Mapping[str, DataFrame], out_dir: str, mode: str | None = None,
     keys: Sequence[str] = (),
 ) -> dict[str, str]:
-    """Roll the four raw tables up to weekly parquet tables, three with CSV copies.
+    """Roll four daily tables up to weekly parquet tables, three with CSV copies.
 
-    The copies are made from the written tables, so nothing is rolled up twice.
+    The daily tables are read where they are and only weekly ones are written; the
+    copies are made from the written tables, so nothing is rolled up twice.
     """
     tables = {
-        "demand_weekly": rollup_demand(read_table(spark, raw_dir, "demand_daily"), keys),
-        "energy_price_weekly": rollup_price(
-            read_table(spark, raw_dir, "prices_energy_daily"), keys
-        ),
-        "crop_params": dedup_params(read_table(spark, raw_dir, "crop_params")),
-        "telemetry_weekly": rollup_telemetry(
-            read_table(spark, raw_dir, "telemetry_tray_daily"), mode, keys
-        ),
+        "demand_weekly": rollup_demand(frames["demand_daily"], keys),
+        "energy_price_weekly": rollup_price(frames["prices_energy_daily"], keys),
+        "crop_params": dedup_params(frames["crop_params"]),
+        "telemetry_weekly": rollup_telemetry(frames["telemetry_tray_daily"], mode, keys),
     }
     paths = {name: write_table(df, out_dir, name) for name, df in tables.items()}
     for name in WEEKLY_CSV:
@@ -67,6 +65,15 @@ def aggregate_tables(
     return paths
 
 
+def aggregate_tables(
+    spark: SparkSession, raw_dir: str, out_dir: str, mode: str | None = None,
+    keys: Sequence[str] = (),
+) -> dict[str, str]:
+    """The same from four written daily tables."""
+    frames = {name: read_table(spark, raw_dir, name) for name in DAILY}
+    return aggregate_frames(spark, frames, out_dir, mode, keys)
+
+
 def plan_and_write(
     spark: SparkSession, weekly_dir: str, out_dir: str, params: DataFrame,
     scen: Scenario | DataFrame, weeks: int, keys: Sequence[str] = (),
@@ -145,6 +152,18 @@ def report_and_write(
     return paths
 
 
+def run_given(
+    spark: SparkSession, frames: Mapping[str, DataFrame], directory: str, params: DataFrame,
+    scen: Scenario, weeks: int, mode: str | None = None, init: DataFrame | None = None,
+) -> dict[str, str]:
+    """Aggregate, plan and report one site over daily tables that exist."""
+    weekly, out = f"{directory}/weekly", f"{directory}/outputs"
+    paths = aggregate_frames(spark, frames, weekly, mode)
+    paths.update(plan_and_write(spark, weekly, out, params, scen, weeks, init=init))
+    paths.update(report_and_write(spark, weekly, out, params, weeks))
+    return paths
+
+
 def generate_and_aggregate(
     spark: SparkSession, entities: DataFrame, params: DataFrame, directory: str, start: str,
     weeks: int, seed: int, keys: Sequence[str] = (), mode: str = "rows",

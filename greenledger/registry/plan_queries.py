@@ -679,15 +679,17 @@ def _(i: Inputs):
         UNION ALL SELECT 'crop_params', crop, NULL, {rnd('yield_lbs_per_tray', 'value')} FROM used_params""",
 )
 def _(i: Inputs):
-    base = scratch_dir(i.spark)
-    raw, out = f"{base}/raw", f"{base}/weekly"
-    for name, df in (("demand_daily", i.demand_daily()), ("prices_energy_daily", i.prices_daily()),
-                     ("crop_params", i.used_params), ("telemetry_tray_daily", i.telemetry_rows())):
-        tables.write_table(df, raw, name)
-    jobs.aggregate_tables(i.spark, raw, out)
+    out = f"{scratch_dir(i.spark)}/weekly"
+    jobs.aggregate_frames(i.spark, _daily(i, i.telemetry_rows()), out)
     return _stacked(i, out)
 
 
+def _daily(i: Inputs, telemetry) -> dict:
+    """The four daily tables, from the given ones."""
+    return {"demand_daily": i.demand_daily(), "prices_energy_daily": i.prices_daily(),
+            "crop_params": i.used_params, "telemetry_tray_daily": telemetry}
+
+
 def _stacked(i: Inputs, out: str, keys: tuple[str, ...] = ()):
     """The four weekly tables in one shape."""
     none = {"crop": F.lit(None).cast("string"), "week_id": F.lit(None).cast("int")}
@@ -709,39 +711,25 @@ def _stacked(i: Inputs, out: str, keys: tuple[str, ...] = ()):
 
 @query(
     "run_generate_aggregate",
-    f"""SELECT facility, 'demand_weekly' AS table_name, crop, week_id, {rnd('demand_lbs', 'value')}
-        FROM fac_demand
-        UNION ALL SELECT facility, 'energy_price_weekly', NULL, week_id, {rnd('price_per_kwh', 'value')}
-        FROM fac_price
-        UNION ALL SELECT facility, 'telemetry_weekly', crop, week_id, {rnd('sum(kwh_used)', 'value')}
-        FROM synth_counts GROUP BY ALL
-        UNION ALL SELECT NULL, 'crop_params', crop, NULL, {rnd('yield_lbs_per_tray', 'value')} FROM params""",
+    f"""SELECT 'demand_weekly' AS table_name, crop, week_id, {rnd('demand_lbs', 'value')}
+        FROM demand_weekly
+        UNION ALL SELECT 'energy_price_weekly', NULL, week_id, {rnd('price_per_kwh', 'value')}
+        FROM price_weekly
+        UNION ALL SELECT 'telemetry_weekly', crop, week_id, {rnd('sum(kwh_used)', 'value')}
+        FROM tele_counts GROUP BY ALL
+        UNION ALL SELECT 'crop_params', crop, NULL, {rnd('yield_lbs_per_tray', 'value')} FROM used_params""",
 )
 def _(i: Inputs):
-    base = scratch_dir(i.spark)
-    jobs.generate_and_aggregate(
-        i.spark, i.facilities, i.params, base, SYNTH_START, SYNTH_WEEKS, SEED, FACILITY, "counts"
-    )
-    return _stacked(i, f"{base}/weekly", FACILITY)
-
-
-FAC_MEANS = ", ".join(rnd(f"avg({e})", f"avg_{n}_utilization") for n, e in RATIOS.items())
+    """Daily batch counts made from the events, then the weekly tables, in one session."""
+    out = f"{scratch_dir(i.spark)}/weekly"
+    jobs.aggregate_frames(i.spark, _daily(i, i.telemetry_counts()), out)
+    return _stacked(i, out)
 
 
-@query(
-    "run_all",
-    f"""SELECT facility, {SYNTH_WEEKS}::INTEGER AS weeks,
-               (SELECT count(*) FROM params)::INTEGER AS num_crops,
-               {rnd('sum(demand_lbs)', 'total_demand_lbs')},
-               {rnd('sum(produced_lbs)', 'total_produced_lbs')},
-               {rnd('sum(waste_lbs)', 'total_waste_lbs')}, {FAC_MEANS},
-               {rnd('sum(total_cost)', 'total_cost')}
-        FROM fv_ev GROUP BY facility""",
-)
+@query("run_all", SUMMARY_SQL)
 def _(i: Inputs):
-    base = scratch_dir(i.spark)
-    paths = jobs.run_all(
-        i.spark, base, i.params, i.facilities, SYNTH_START, SYNTH_WEEKS, SEED, FACILITY, "counts"
+    """Aggregate, plan and report over the given tables, each stage written and read."""
+    paths = jobs.run_given(
+        i.spark, _daily(i, i.telemetry_rows()), scratch_dir(i.spark), i.params, i.scenario(), WEEKS
     )
-    schema = StructType([StructField("facility", LongType()), *schemas.REPORT_SUMMARY.fields])
-    return tables.read_json(i.spark, paths["report_summary"], schema)
+    return tables.read_json(i.spark, paths["report_summary"], schemas.REPORT_SUMMARY)

@@ -1,28 +1,28 @@
-"""Synthetic tables for one site per supplier."""
+"""Calendars, shares and daily tables of the given rows."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from greenledger.functions.columns import noise_int, noise_normal, noise_uniform, seasonal
 from greenledger.operators import calendar as cal
 from greenledger.operators import synth
+from greenledger.operators.rollup import disaggregate_observed, with_effective_yield
+from greenledger.plans.schedule import demand_trays
 from greenledger.registry.base import query
 from greenledger.registry.inputs import (
     ANCHOR,
-    FACILITY,
     SEED,
-    SYNTH_START,
     SYNTH_WEEKS,
     WEEKS,
     Inputs,
 )
-from greenledger.registry.sql import normal, rnd, uniform, week_of
-from greenledger.session import scratch_dir
-from greenledger.sources.tables import read_table
+from greenledger.registry.sql import CTES, normal, rnd, uniform, week_of
 
 D = "::DOUBLE"
-ARGS = (SYNTH_WEEKS, SEED, FACILITY)
+#: Means of a few short decimals end in an exact half; engines round that either way.
+OFF_TIES = 2e-10
 
 
 @query(
@@ -88,67 +88,99 @@ def _(i: Inputs):
     return synth.eligible(grid, i.params).select("facility", "week_id", "crop")
 
 
+#: Demand of each crop and week with its trays and its share of the week.
+CTES["obs"] = f"""
+    SELECT crop, week_id, demand_lbs, ceil(demand_lbs / eff - 1e-9{D})::BIGINT AS trays_est
+    FROM demand_weekly JOIN params USING (crop)"""
+CTES["obs_weights"] = """
+    SELECT *, coalesce(demand_lbs / nullif(sum(demand_lbs) OVER w, 0), 0) AS weight,
+           (sum(trays_est) OVER w)::BIGINT AS total_trays
+    FROM obs WINDOW w AS (PARTITION BY week_id)"""
+CTES["obs_split"] = """
+    SELECT week_id, crop, total_trays, whole + CASE WHEN rank <= total_trays - given AND weight > 0
+           THEN 1 ELSE 0 END AS trays
+    FROM (SELECT *, (sum(whole) OVER (PARTITION BY week_id))::BIGINT AS given,
+                 row_number() OVER (PARTITION BY week_id ORDER BY part DESC, crop) AS rank
+          FROM (SELECT *, floor(total_trays * weight)::BIGINT AS whole,
+                       round(total_trays * weight - floor(total_trays * weight), 9) AS part
+                FROM obs_weights))"""
+
+
+def _observed(i: Inputs):
+    """Observed weekly demand with its trays."""
+    return demand_trays(i.demand_weekly, i.params).select(
+        "crop", "week_id", F.col("trays").alias("demand_trays_est")
+    ).join(i.demand_weekly, ["crop", "week_id"])
+
+
+def _weights(i: Inputs):
+    """Each crop's share of the pounds, and the trays, of its week."""
+    totals = _observed(i).withColumn("weight", F.col("demand_lbs")).withColumn(
+        "total_trays", F.sum("demand_trays_est").over(Window.partitionBy("week_id")))
+    return synth.normalized(totals, "weight", ["week_id"])
+
+
 @query(
-    "normalized_weights",
-    f"SELECT facility, week_id, crop, {rnd('weight', 'weight')} FROM demand_weights",
+    "normalized_weights", f"SELECT week_id, crop, {rnd('weight', 'weight')} FROM obs_weights",
 )
 def _(i: Inputs):
-    shares = synth.demand_shares(i.facilities, i.params, *ARGS)
-    return shares.filter("weight > 0").select("facility", "week_id", "crop", "weight")
+    return _weights(i).select("week_id", "crop", "weight")
 
 
-@query(
-    "apportion_integer",
-    "SELECT facility, week_id, crop, total_trays, trays FROM demand_split",
-)
+@query("apportion_integer", "SELECT week_id, crop, total_trays, trays::BIGINT AS trays FROM obs_split")
 def _(i: Inputs):
-    shares = synth.demand_shares(i.facilities, i.params, *ARGS)
-    split = synth.apportion(shares, "total_trays", "weight", ["facility", "week_id"])
-    return split.filter("weight > 0").select(
-        "facility", "week_id", "crop", "total_trays", "trays"
-    )
+    split = synth.apportion(_weights(i), "total_trays", "weight", ["week_id"])
+    return split.select("week_id", "crop", "total_trays", "trays")
 
 
-@query("weekly_total_trays", "SELECT facility, week_id, total_trays FROM week_totals")
+@query(
+    "weekly_total_trays",
+    "SELECT week_id, sum(trays_est)::BIGINT AS total_trays FROM obs GROUP BY week_id",
+)
 def _(i: Inputs):
-    limits = synth.tray_limit(i.facilities, i.params)
-    return synth.weekly_total_trays(limits, *ARGS).select("facility", "week_id", "total_trays")
+    return _observed(i).groupBy("week_id").agg(F.sum("demand_trays_est").alias("total_trays"))
 
 
 @query(
     "weekly_demand",
-    f"""SELECT facility, crop, week_id, {rnd('demand_lbs', 'demand_lbs')}, demand_trays_est
-        FROM synth_demand""",
+    f"SELECT crop, week_id, {rnd('demand_lbs', 'demand_lbs')}, trays_est AS demand_trays_est FROM obs",
 )
 def _(i: Inputs):
-    return synth.synth_demand_weekly(i.facilities, i.params, *ARGS)
+    return _observed(i).select("crop", "week_id", "demand_lbs", "demand_trays_est")
 
 
 @query(
     "disaggregate_daily",
-    f"SELECT date, facility, week_id, crop, {rnd('demand_lbs', 'demand_lbs')} FROM synth_daily",
+    f"""SELECT date, week_id, crop, {rnd(f'planned * day_lbs / sum(day_lbs) OVER (PARTITION BY crop, week_id) + {OFF_TIES}{D}',
+                                         'demand_lbs')}
+        FROM (SELECT date, week_id, crop, sum(demand_lbs) AS day_lbs FROM lines GROUP BY ALL)
+        JOIN (SELECT crop, week_id, trays_est * eff AS planned FROM obs JOIN params USING (crop))
+        USING (crop, week_id)""",
 )
 def _(i: Inputs):
-    weekly = synth.synth_demand_weekly(i.facilities, i.params, *ARGS)
-    return synth.disaggregate(weekly, SYNTH_START, SEED, FACILITY)
+    """Pounds of the whole trays of a week, over its days by their observed shares."""
+    days = i.demand_daily().groupBy("date", "week_id", "crop").agg(F.sum("demand_lbs").alias("demand_lbs"))
+    planned = _observed(i).join(with_effective_yield(i.params), "crop").select(
+        "crop", "week_id", (F.col("demand_trays_est") * F.col("effective_yield_lbs")).alias("planned"))
+    return disaggregate_observed(planned, days, "planned", "demand_lbs").withColumn(
+        "demand_lbs", F.col("demand_lbs") + OFF_TIES)
 
 
 @query(
     "price_daily",
-    f"""SELECT date, facility, week_id, {rnd('energy_price_per_kwh', 'energy_price_per_kwh')}
-        FROM synth_prices""",
+    f"""SELECT date, week_id, {rnd(f'avg(energy_price_per_kwh) + {OFF_TIES}{D}', 'energy_price_per_kwh')}
+        FROM prices GROUP BY ALL""",
 )
 def _(i: Inputs):
-    return synth.synth_price_daily(i.facilities, SYNTH_START, *ARGS)
-
-
-COUNTS_SQL = f"""SELECT date, facility, week_id, crop, batch_id, active_trays, stage_age_days,
-    {rnd('kwh_used', 'kwh_used')}, is_active FROM synth_counts"""
+    return i.prices_daily().groupBy("date", "week_id").agg(
+        (F.avg("energy_price_per_kwh") + OFF_TIES).alias("energy_price_per_kwh")
+    )
 
 
-@query("telemetry_counts", COUNTS_SQL)
+@query("telemetry_counts", f"""SELECT date, week_id, crop, batch_id, active_trays, stage_age_days,
+    {rnd('kwh_used', 'kwh_used')}, is_active FROM tele_counts""")
 def _(i: Inputs):
-    return synth.synth_telemetry_counts(i.facilities, i.params, SYNTH_START, *ARGS)
+    return i.telemetry_counts()
 
 
 @query("active_flag", """SELECT date, crop, active_trays, active_trays > 0 AS is_active
@@ -161,41 +193,33 @@ def _(i: Inputs):
 
 @query(
     "telemetry_rows",
-    f"""SELECT date, facility, week_id, crop, tray_id, stage_age_days,
-               {rnd('kwh_used', 'kwh_used')}, is_active FROM synth_rows""",
+    f"""SELECT date, week_id, crop, tray_id, stage_age_days, {rnd('kwh_used', 'kwh_used')}, is_active
+        FROM tele_rows""",
 )
 def _(i: Inputs):
-    counts = synth.synth_telemetry_counts(i.facilities, i.params, SYNTH_START, *ARGS)
-    return synth.expand_rows(counts, i.params, SEED, FACILITY)
+    return i.telemetry_rows()
 
 
 @query(
     "generate_all",
-    f"""SELECT facility, week_id, 'demand_daily' AS table_name, count(*) AS row_count,
-               {rnd('sum(demand_lbs)', 'total')} FROM synth_daily GROUP BY ALL
+    f"""SELECT week_id, 'demand_daily' AS table_name, count(*) AS row_count,
+               {rnd('sum(demand_lbs)', 'total')} FROM lines GROUP BY ALL
         UNION ALL
-        SELECT facility, week_id, 'prices_energy_daily', count(*),
-               {rnd('sum(energy_price_per_kwh)', 'total')} FROM synth_prices GROUP BY ALL
+        SELECT week_id, 'prices_energy_daily', count(*),
+               {rnd('sum(energy_price_per_kwh)', 'total')} FROM prices GROUP BY ALL
         UNION ALL
-        SELECT facility, week_id, 'telemetry_tray_daily', count(*), {rnd('sum(kwh_used)', 'total')}
-        FROM synth_counts GROUP BY ALL""",
+        SELECT week_id, 'telemetry_tray_daily', count(*), {rnd('sum(kwh_used)', 'total')}
+        FROM tele_counts GROUP BY ALL""",
 )
 def _(i: Inputs):
-    out = scratch_dir(i.spark)
-    synth.generate(
-        i.spark, i.facilities, i.params, out, SYNTH_START, SYNTH_WEEKS, SEED, FACILITY, "counts"
-    )
-
-    def summed(name: str, value: str):
-        return read_table(i.spark, out, name).groupBy("facility", "week_id").agg(
+    """Rows and totals per week of the daily tables made from the given ones."""
+    def summed(df, name: str, value: str):
+        return df.groupBy("week_id").agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
-            F.sum(value).alias("total"),
-        )
+            F.sum(value).alias("total"))
 
     return (
-        summed("demand_daily", "demand_lbs")
-        .unionByName(summed("prices_energy_daily", "energy_price_per_kwh"))
-        .unionByName(summed("telemetry_tray_daily", "kwh_used"))
+        summed(i.demand_daily(), "demand_daily", "demand_lbs")
+        .unionByName(summed(i.prices_daily(), "prices_energy_daily", "energy_price_per_kwh"))
+        .unionByName(summed(i.telemetry_counts(), "telemetry_tray_daily", "kwh_used"))
     )
-
-
