@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from greenledger.functions.columns import effective_yield, trays_needed
@@ -55,36 +55,62 @@ def initial_lots(
     )
 
 
+SERVED = "array<struct<age: int, week_id: int, served: bigint>>"
+
+
+def _serve(lots: Column, needs: Column, low: Column, high: Column) -> Column:
+    """What each lot delivers to each week: weeks in order, each from its oldest fitting lot.
+
+    ``lots`` are (age, qty) from the oldest, ``needs`` (week_id, trays) from the first.
+    Older lots open and expire no later than younger ones, so taking the one that
+    expires first serves as many trays as any matching can.
+    """
+    def meetings(n: Column, k: Column) -> Column:
+        each = F.transform(lots, lambda lot, j: F.struct(
+            j.alias("lot"), k.alias("need"), lot["age"].alias("age"), n["week_id"].alias("week_id")))
+        return F.filter(each, lambda m: (m["age"] + m["week_id"]).between(low, high))
+
+    def less(values: Column, at: Column, taken: Column) -> Column:
+        return F.transform(values, lambda v, i: F.when(i == at, v - taken).otherwise(v))
+
+    def step(acc: Column, m: Column) -> Column:
+        taken = F.least(F.get(acc["lots"], m["lot"]), F.get(acc["needs"], m["need"]))
+        row = F.array(F.struct(m["age"].alias("age"), m["week_id"].alias("week_id"),
+                               taken.alias("served"))).cast(SERVED)
+        return F.struct(
+            less(acc["lots"], m["lot"], taken).alias("lots"),
+            less(acc["needs"], m["need"], taken).alias("needs"),
+            F.concat(acc["served"], row).alias("served"))
+
+    start = F.struct(F.transform(lots, lambda lot: lot["qty"]).alias("lots"),
+                     F.transform(needs, lambda n: n["trays"]).alias("needs"),
+                     F.array().cast(SERVED).alias("served"))
+    return F.aggregate(F.flatten(F.transform(needs, meetings)), start, step, lambda acc: acc["served"])
+
+
 def initial_wip_fifo(
     demand: DataFrame, init: DataFrame, params: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Serve the earliest demand from the oldest initial stock, plant for the rest.
+    """Serve what initial stock can serve, oldest lots first, and plant for the rest.
 
-    Stock and demand are laid on one line of running sums; the overlap of a lot and
-    a week is what that lot delivers to it. Overlaps at an age outside the growing
-    window are given back to planting. What a lot does not deliver is harvested at
-    the longest growing time. Only weeks up to the longest growing time can meet
-    initial stock, so at most that many lots meet that many weeks per crop.
+    Each lot serves only weeks at which its age is inside the growing window, so no lot
+    is used up by a week it cannot serve. What a lot does not deliver is harvested at
+    the longest growing time. Only weeks up to the longest growing time can meet initial
+    stock, so the two arrays of a crop have at most that many entries each.
     """
-    by_crop = Window.partitionBy(*keys, "crop").rowsBetween(Window.unboundedPreceding, 0)
-    lots = initial_lots(init, params, keys).withColumn(
-        "lot_end", F.sum("qty").over(by_crop.orderBy(F.desc("age")))
-    )
+    lots = initial_lots(init, params, keys)
     needed = demand_trays(demand, params, keys).filter(F.col("trays") > 0)
-    early = (
-        needed.filter(F.col("week_id") <= F.col("g_max_weeks"))
-        .select(*keys, "crop", "week_id", "trays")
-        .withColumn("need_end", F.sum("trays").over(by_crop.orderBy("week_id")))
-    )
-    from_start = F.greatest(F.col("lot_end") - F.col("qty"), F.col("need_end") - F.col("trays"))
-    overlap = F.least("lot_end", "need_end") - from_start
+    stock = lots.groupBy(*keys, "crop", "g_min_weeks", "g_max_weeks").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("age").cast("int").alias("age"), "qty")), asc=False)
+        .alias("lots"))
+    early = needed.filter(F.col("week_id") <= F.col("g_max_weeks")).groupBy(*keys, "crop").agg(
+        F.sort_array(F.collect_list(F.struct(F.col("week_id").cast("int").alias("week_id"), "trays")))
+        .alias("needs"))
     served = (
-        lots.join(early, [*keys, "crop"])
-        .withColumn("served", overlap)
-        .filter(
-            (F.col("served") > 0)
-            & (F.col("age") + F.col("week_id")).between(F.col("g_min_weeks"), F.col("g_max_weeks"))
-        )
+        stock.join(early, [*keys, "crop"])
+        .select(*keys, "crop", "g_min_weeks", "g_max_weeks", F.inline(_serve(
+            F.col("lots"), F.col("needs"), F.col("g_min_weeks"), F.col("g_max_weeks"))))
+        .filter("served > 0")
         .select(*keys, "crop", "age", "week_id", "g_min_weeks", "g_max_weeks", "served")
     )
     used = served.select(

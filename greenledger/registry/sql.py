@@ -63,7 +63,7 @@ def with_ctes(final: str) -> str:
     if not needed:
         return final
     parts = ",\n".join(f"{name} AS ({sql})" for name, sql in CTES.items() if name in needed)
-    return f"WITH {parts}\n{final}"
+    return f"WITH RECURSIVE {parts}\n{final}"
 
 
 def _params_sql() -> str:
@@ -358,20 +358,28 @@ CTES["stock0"] = """
     WHERE week_id BETWEEN -5 AND 0 GROUP BY ALL"""
 CTES["late_dense"] = dense_sql("late_lines", "late_grid", "crop, week_id")
 CTES["fifo_need"] = f"""
-    SELECT *, sum(trays) OVER (PARTITION BY crop ORDER BY week_id) AS need_end
-    FROM (SELECT crop, week_id, g_min_weeks, g_max_weeks,
-                 ceil(demand_lbs / eff - 1e-9{D})::BIGINT AS trays
-          FROM late_dense JOIN params USING (crop)) WHERE trays > 0"""
+    SELECT * FROM (SELECT crop, week_id, g_min_weeks, g_max_weeks,
+                          ceil(demand_lbs / eff - 1e-9{D})::BIGINT AS trays
+                   FROM late_dense JOIN params USING (crop)) WHERE trays > 0"""
 CTES["fifo_lots"] = """
-    SELECT *, sum(qty) OVER (PARTITION BY crop ORDER BY age DESC) AS lot_end
-    FROM (SELECT crop, age, qty FROM stock0 JOIN params USING (crop)
-          WHERE qty > 0 AND age < g_max_weeks)"""
+    SELECT crop, age, qty FROM stock0 JOIN params USING (crop) WHERE qty > 0 AND age < g_max_weeks"""
+CTES["fifo_pairs"] = """
+    SELECT *, row_number() OVER (PARTITION BY crop ORDER BY week_id, age DESC) AS k
+    FROM (SELECT l.crop, l.age, l.li, n.week_id, n.ni
+          FROM (SELECT *, row_number() OVER (PARTITION BY crop ORDER BY age DESC) AS li FROM fifo_lots) l
+          JOIN (SELECT *, row_number() OVER (PARTITION BY crop ORDER BY week_id) AS ni FROM fifo_need) n
+          ON l.crop = n.crop AND l.age + n.week_id BETWEEN n.g_min_weeks AND n.g_max_weeks)"""
+CTES["fifo_run"] = """
+    SELECT crop, 0::BIGINT AS k, l.lots, n.needs, 0::BIGINT AS served
+    FROM (SELECT crop, list(qty ORDER BY age DESC) AS lots FROM fifo_lots GROUP BY crop) l
+    JOIN (SELECT crop, list(trays ORDER BY week_id) AS needs FROM fifo_need GROUP BY crop) n USING (crop)
+    UNION ALL
+    SELECT crop, k, lots[1:li-1] || [lots[li] - s] || lots[li+1:],
+           needs[1:ni-1] || [needs[ni] - s] || needs[ni+1:], s
+    FROM (SELECT p.*, r.lots, r.needs, least(r.lots[p.li], r.needs[p.ni])::BIGINT AS s
+          FROM fifo_run r JOIN fifo_pairs p ON p.crop = r.crop AND p.k = r.k + 1)"""
 CTES["fifo_served"] = """
-    SELECT l.crop, l.age, n.week_id,
-           least(lot_end, need_end) - greatest(lot_end - qty, need_end - trays) AS served
-    FROM fifo_lots l JOIN fifo_need n ON l.crop = n.crop
-     AND least(lot_end, need_end) > greatest(lot_end - qty, need_end - trays)
-     AND l.age + n.week_id BETWEEN n.g_min_weeks AND n.g_max_weeks"""
+    SELECT crop, age, week_id, served FROM fifo_run JOIN fifo_pairs USING (crop, k) WHERE served > 0"""
 CTES["fifo_plan"] = """
     SELECT crop, plant_week::INTEGER AS plant_week, harvest_week::INTEGER AS harvest_week,
            sum(trays)::BIGINT AS trays

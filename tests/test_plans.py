@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import itertools
+import math
+import collections
 import random
 
 import pytest
@@ -292,6 +294,39 @@ def test_fifo_plan_is_clean(spark, two, seed):
     assert kinds <= {"demand_balance"}
     short = [r for r in ledger.demand_balance(plan, demand, two, 8).collect() if r.is_short]
     assert all(r.week_id <= window[r.crop][0] for r in short)
+    # In each crop the stock serves as much as any matching of lots to weeks can.
+    per_tray = {"a": 2.0, "b": 0.9}
+    for crop in "ab":
+        low, high = window[crop]
+        lots = [(a, q) for c, a, q in stock if c == crop and a < high]
+        needs = {w: math.ceil(d / per_tray[crop] - 1e-9) for c, w, d in wanted if c == crop and w <= high}
+        got = collections.Counter()
+        for c, p, h, n in found:
+            if c == crop and p <= 0:
+                got[h] += n
+        served = sum(min(got[w], needs[w]) for w in needs)
+        assert served == most_served(lots, needs, low, high)
+
+
+def most_served(lots, needs, low, high):
+    """Greatest number of trays that lots can serve: over every set of weeks, what the lots
+    that fit one of them hold bounds it, and the least bound is reached."""
+    weeks = list(needs)
+    best = sum(needs.values())
+    for k in range(1, len(weeks) + 1):
+        for chosen in itertools.combinations(weeks, k):
+            reach = sum(q for a, q in lots if any(low <= a + w <= high for w in chosen))
+            best = min(best, reach + sum(n for w, n in needs.items() if w not in chosen))
+    return best
+
+
+def test_a_young_lot_waits_for_its_week(spark):
+    crop = (CropParam("x", 3, 4, 1.0, 0.0, 0.1, 0.1, 0.1, 0.1, 0.1),)
+    init = spark.createDataFrame([("x", 3, 20), ("x", 0, 10)], "crop string, age int, qty long")
+    demand = spark.createDataFrame([("x", 1, 10.0), ("x", 3, 10.0)], DEMAND)
+    plan = rows(schedule.initial_wip_fifo(demand, init, params_table(spark, crop)),
+                "plant_week", "harvest_week", "trays")
+    assert (0, 3, 10) in plan and (-3, 1, 10) in [(p, h, min(n, 10)) for p, h, n in plan]
 
 
 def test_feasibility_issues(spark, two):
