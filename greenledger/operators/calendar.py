@@ -11,14 +11,17 @@ from greenledger.functions.columns import week_index
 
 
 def with_week_id(
-    df: DataFrame, date_col: str, anchor: str, weeks: int | None = None, first_week: int = 1
+    df: DataFrame, date_col: str, anchor: str, weeks: int | None = None,
+    first_week: int | None = 1,
 ) -> DataFrame:
-    """Add the week index of a date. With a horizon ``first_week..weeks``, rows outside
-    it are cut by a range on the source column itself, which reaches the parquet scan."""
+    """Add the week index of a date. With a horizon ``first_week..weeks`` (no first week:
+    everything up to ``weeks``), rows outside it are cut by a range on the source column
+    itself, which reaches the parquet scan."""
     if weeks is not None:
         start = F.to_date(F.lit(anchor))
-        first, end = F.date_add(start, 7 * (first_week - 1)), F.date_add(start, 7 * weeks)
-        df = df.filter((F.col(date_col) >= first) & (F.col(date_col) < end))
+        df = df.filter(F.col(date_col) < F.date_add(start, 7 * weeks))
+        if first_week is not None:
+            df = df.filter(F.col(date_col) >= F.date_add(start, 7 * (first_week - 1)))
     return df.withColumn("week_id", week_index(date_col, anchor))
 
 

@@ -81,10 +81,13 @@ def plan_and_write(
 ) -> dict[str, str]:
     """Plan from the weekly tables and write the issues, the plan, its use and costs.
 
-    With keys, ``scen`` is the scenario table and its keys span the grid. Initial stock,
-    if given, is used up before anything is planted.
+    With keys, the sites are those of the scenario table, or, under one scenario for all,
+    those of the demand. Initial stock, if given, is used up before anything is planted.
     """
-    sites = scen.select(*keys) if keys else None
+    sites = None
+    if keys:
+        named = read_table(spark, weekly_dir, "demand_weekly") if isinstance(scen, Scenario) else scen
+        sites = named.select(*keys).distinct()
     grid = crop_week_grid(params, weeks, sites)
     week_cells = cross_weeks(sites, weeks) if keys else week_grid(spark, weeks)
     demand = densify_zero(

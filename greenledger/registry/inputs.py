@@ -132,7 +132,7 @@ class Inputs:
     # Raw daily tables -----------------------------------------------------------
 
     def demand_lines(
-        self, anchor: str = ANCHOR, weeks: int | None = None, first_week: int = 1
+        self, anchor: str = ANCHOR, weeks: int | None = None, first_week: int | None = 1
     ) -> DataFrame:
         lines = self.given("lineitem").select(
             "l_partkey", "l_suppkey", "l_shipdate", F.col("l_quantity").alias("demand_lbs")
@@ -144,8 +144,8 @@ class Inputs:
         return dated.join(parts, "l_partkey")
 
     def lines_before(self) -> DataFrame:
-        """Lines of the six weeks before the late anchor (weeks -5 to 0)."""
-        return self.demand_lines(LATE_ANCHOR, weeks=0, first_week=-5)
+        """All lines before the late anchor (weeks up to 0)."""
+        return self.demand_lines(LATE_ANCHOR, weeks=0, first_week=None)
 
     def demand_daily(self, weeks: int | None = None) -> DataFrame:
         return self.demand_lines(weeks=weeks).select(
@@ -261,7 +261,7 @@ class Inputs:
 
     @cached_property
     def initial_stock(self) -> DataFrame:
-        """Lines of the six weeks before the late anchor, as stock by age."""
+        """All lines before the late anchor, as stock by age; too old lots drop out later."""
         return self.lines_before().groupBy("crop", (-F.col("week_id")).cast("int").alias("age")).agg(
             F.sum("demand_lbs").cast("long").alias("qty")
         )

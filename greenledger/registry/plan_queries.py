@@ -54,6 +54,7 @@ CTES["required"] = f"""
     SELECT week_id, sum(demand_lbs / eff) AS trays,
            sum(demand_lbs / eff * (plant_hours_per_tray + harvest_hours_per_tray * 0.85{D})) AS hours
     FROM dense JOIN params USING (crop) GROUP BY ALL"""
+# The texts of the issues, as the operators write them.
 EARLY_SQL = _issue_sql(
     "early_demand", "crop", "demand_lbs", f"0.0{D}",
     "printf('Demand for crop=%s, week=%d is %.2f lbs but no initial WIP is configured and "
@@ -627,6 +628,7 @@ LINE_TEXTS = [
     ("- Average process utilization: %.2f%%", "avg_process_utilization * 100"),
     ("- Total cost: $%.2f", "total_cost"),
 ]
+# The texts of the report lines.
 LINES_SQL = " UNION ALL ".join(
     [f"SELECT {n}::INTEGER AS line_no, printf('{text}', {expr}) AS line FROM summary_row"
      for n, (text, expr) in enumerate(LINE_TEXTS, 1)]

@@ -355,7 +355,7 @@ CTES["late_weeks"] = weeks_sql(LATE_WEEKS)
 CTES["late_grid"] = "SELECT crop, week_id FROM params CROSS JOIN late_weeks"
 CTES["stock0"] = """
     SELECT crop, -week_id AS age, sum(demand_lbs)::BIGINT AS qty FROM late_lines
-    WHERE week_id BETWEEN -5 AND 0 GROUP BY ALL"""
+    WHERE week_id <= 0 GROUP BY ALL"""
 CTES["late_dense"] = dense_sql("late_lines", "late_grid", "crop, week_id")
 CTES["fifo_need"] = f"""
     SELECT * FROM (SELECT crop, week_id, g_min_weeks, g_max_weeks,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +20,10 @@ DEFAULT_CONF = {
 }
 
 
+#: Where a local session that names no shared folder writes.
+LOCAL_FOLDER = "/tmp/checkpoints"
+
+
 def build_session(app_name: str = "greenledger", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; the cluster supplies master and sizes."""
     builder = SparkSession.builder.appName(app_name)
@@ -43,8 +46,7 @@ def scratch_dir(spark: SparkSession) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="greenledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = LOCAL_FOLDER
     return f"{base.rstrip('/')}/greenledger-{uuid.uuid4().hex}"
 
 

@@ -25,6 +25,13 @@ class CropParam:
     nutrient_cost_per_tray_week: float
     energy_kwh_per_tray_week: float
 
+    def __post_init__(self) -> None:
+        """The lower bound of a plan's cost holds for rates of 0 and more only."""
+        for field in ("plant_hours_per_tray", "harvest_hours_per_tray", "seed_cost_per_tray",
+                      "nutrient_cost_per_tray_week", "energy_kwh_per_tray_week"):
+            if getattr(self, field) < 0:
+                raise ValueError(f"{field} of {self.crop} is negative")
+
 
 # The shipped crop parameters, in the field order of CropParam.
 SHIPPED_CROPS = (
