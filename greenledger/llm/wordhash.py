@@ -6,6 +6,7 @@ fixed function of the bytes, so any executor, retry or run gives the same values
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,12 +15,14 @@ import pyarrow as pa
 
 #: Bytes of text worked on at once; a longer text is worked on alone.
 CHUNK_BYTES = 1 << 18
+#: Bytes from which a word is hashed by a digest.
+LONG_WORD = 256
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C17
 _WHITE = np.zeros(256, bool)
 _WHITE[[32, 9, 10, 11, 12, 13]] = True
-_FOLD = np.arange(256)
+_FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
 
@@ -32,27 +35,29 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-_BYTE = mix64(np.arange(1, 257, dtype=_U) * _U(0xC2B2AE3D27D4EB4F))
-_BYTE_FOLDED = _BYTE[_FOLD]
+def word_hashes(letters: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The hash of every word: eight bytes after eight are taken in and mixed.
 
-
-class _Powers:
-    """Powers of the base and of its inverse modulo 2**64, grown on demand."""
-
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, _U)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, CHUNK_BYTES + 1)
-            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-                steps = np.full(size, base, _U)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
-        return self.up[:n], self.down[:n]
-
-
-_POWERS = _Powers()
+    Each step is a bijection of what came before, so words of up to eight bytes never
+    collide within one size, and no pattern of letters makes longer ones collide. Words
+    beyond ``LONG_WORD`` bytes, which are rare, get a cryptographic digest.
+    """
+    if not len(size):
+        return np.zeros(0, _U)
+    padded = np.concatenate((letters, np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(letters) + 1, "<u8", padded.data, strides=(1,))
+    out = mix64(size.astype(_U) * _U(_BASE))
+    active, left, at = np.arange(len(size)), np.minimum(size, LONG_WORD), start
+    while len(active):
+        spare = np.maximum(8 - left, 0).astype(_U) * _U(8)  # bits beyond the word
+        lane = eight[at] << spare
+        out[active] = mix64(mix64(out[active] ^ lane) + _U(_BASE))
+        more = left > 8
+        active, left, at = active[more], left[more] - 8, at[more] + 8
+    for i in np.flatnonzero(size > LONG_WORD):
+        word = letters[start[i] : start[i] + size[i]].tobytes()
+        out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return out
 
 
 @dataclass
@@ -96,10 +101,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, fold_case: bool) -> Words
     begins[edges] = inside[1:-1][edges]
     ends[edges - 1] = inside[1:-1][edges - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _POWERS.get(n + 1)
-    sums = np.zeros(n + 1, _U)
-    np.cumsum((_BYTE_FOLDED if fold_case else _BYTE)[data] * up[:n], out=sums[1:])
-    hashed = mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(_U))
+    hashed = word_hashes(_FOLD[data] if fold_case else data, start, end - start)
     return Words(data, start, end, hashed, np.searchsorted(start, offsets))
 
 

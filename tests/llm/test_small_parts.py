@@ -162,3 +162,22 @@ def test_packing_is_near_the_optimum_of_small_sets(seed):
 
 def test_every_template_has_a_family():
     assert all(licences.TEMPLATES.values())
+
+
+def test_no_pattern_of_letters_makes_words_equal():
+    """A word of the Thue-Morse sequence and its complement, for which sums of powers agree."""
+    bits = [bin(k).count("1") % 2 for k in range(4096)]
+    for size in (8, 16, 64, 256, 512, 2048, 4096):
+        a, b = ("".join("ab"[x ^ flip] for x in bits[:size]) for flip in (0, 1))
+        (one,), (two,) = all_words([a, b], False)
+        assert one[1] != two[1]
+
+
+def test_a_word_has_one_hash_at_every_length_and_place():
+    sizes = (1, 7, 8, 9, 15, 16, 17, 64, 255, 256, 257, 1000)
+    texts = [f" a {'q' * k} zz" for k in sizes] + ["q" * k for k in sizes]
+    by_word = {}
+    for text in all_words(texts, True):
+        for word, value in text:
+            assert by_word.setdefault(word, value) == value
+    assert len(set(by_word.values())) == len(by_word) == len(sizes) + 2
