@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.llm import (
-    benchmark_leaks, fingerprints, languages, licences, near_dups, packing, personal_data,
-    repeated_passages, secrets, toxicity,
+    benchmark_leaks, fill_middle, fingerprints, languages, licences, near_dups, packing, periodic_runs,
+    personal_data, repeated_passages, secrets, toxicity,
 )
 from greenledger.llm.tables import read
 
@@ -82,3 +82,69 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.transformed(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.original(F.col("form"), F.col("output")), 256).alias("restored_sha256"))
+
+
+ORACLES["op12_fill_middle"] = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id::VARCHAR) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units
+  FROM documents),
+numbers AS (
+  SELECT doc_id, text, units, len(units)::BIGINT AS n,
+         concat('0x', substr(h, 1, 8))::BIGINT AS h1, concat('0x', substr(h, 9, 8))::BIGINT AS h2,
+         concat('0x', substr(h, 17, 8))::BIGINT AS h3, concat('0x', substr(h, 25, 8))::BIGINT AS h4
+  FROM drawn),
+cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers),
+parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m,
+         array_to_string(units[b + 1:], '') AS s
+  FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts"""
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with a run planted in every text whose id's checksum ends in 0."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.size("words").cast("long"))
+    g = F.floor(F.col("h") / 10)
+    rows = rows.select("doc_id", "text", "words", "n", F.when(F.col("n") > 0, g % F.col("n")).alias("a"), g.alias("g"))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    changed = F.transform("words", lambda w, i: F.when(
+        i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(
+        F.col("text")).alias("text"))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted_runs(read(spark, sf_dir, "documents", "doc_id", "text"))
+    found = periodic_runs.periodic_runs(docs)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.shorter")
+    return rows.select("doc_id", "n_runs", (-F.col("best.before")).alias("start"), length.alias("length"),
+                       period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
