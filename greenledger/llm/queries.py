@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from greenledger.llm import (
-    benchmark_leaks, fill_middle, fingerprints, languages, licences, near_dups, packing, periodic_runs,
-    personal_data, repeated_passages, secrets, toxicity,
+    benchmark_leaks, fill_middle, fingerprints, jaccard_join, languages, licences, near_dups, packing,
+    periodic_runs, personal_data, repeated_passages, secrets, toxicity,
 )
 from greenledger.llm.tables import read
 
@@ -148,3 +148,38 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_runs", (-F.col("best.before")).alias("start"), length.alias("length"),
                        period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
                        "runs_sha256", "collapsed_sha256")
+
+
+@query
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+#: Sets of shingles, their links in hundredths of the union, and what links reach.
+_LINKED_SQL = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 5 AND len(w) > 0 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM split),
+sized AS (SELECT doc_id, len(s)::BIGINT AS n, md5(array_to_string(list_sort(s), chr(10))) AS k FROM sets),
+elements AS (SELECT doc_id, unnest(s) AS g FROM sets),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM elements a JOIN elements b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y, p.k AS kx, q.k AS ky
+  FROM shared JOIN sized p ON p.doc_id = x JOIN sized q ON q.doc_id = y
+  WHERE 100 * c >= {percent} * (p.n + q.n - c)),
+reached(node, root) AS (
+  SELECT doc_id, doc_id FROM sized UNION SELECT y, root FROM reached JOIN links ON x = node),
+roots AS (SELECT node AS doc_id, min(root) AS component_id FROM reached GROUP BY node),
+degrees AS (SELECT x AS doc_id, count(DISTINCT ky) FILTER (ky <> kx) AS n_links FROM links GROUP BY x)
+SELECT doc_id, n AS n_shingles, component_id, {more}
+FROM sized JOIN roots USING (doc_id) LEFT JOIN degrees USING (doc_id)"""
+ORACLES["op1_near_dups"] = _LINKED_SQL.format(percent=85, more="doc_id = component_id AS kept")
+ORACLES["op11_jaccard_join"] = _LINKED_SQL.format(
+    percent=80, more="coalesce(n_links, 0)::BIGINT AS n_links")
