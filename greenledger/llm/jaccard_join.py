@@ -12,11 +12,11 @@ size or less: partners are the sets that occur at least T times in its inverted
    least. Sets with many first elements in common have few heads, and a group never holds
    more than the sets that share a first element with its head: links are not closed
    transitively before they are verified.
-4. In each group every set searches the ones that are not larger by DivideSkip: its short
+4. In each cell every set searches the ones that are not larger by DivideSkip: its short
    inverted lists are merged by a heap that skips ahead, the long ones are probed by
    binary search for what the merge left over, and what reaches the overlap that its own
    size asks for is linked. A task gives a spanning star and numbers of links, no pairs.
-   A group too large for one task is cut into blocks and each two blocks meet in a task.
+   A cell too large for one task is cut into blocks and each two blocks meet in a task.
 5. The components of all stars are the result.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing; a text of
@@ -49,14 +49,13 @@ SHINGLE_WORDS = 5
 LINK_PERCENT = 80
 #: The count sketch: rows of counters, and bits of a row's index.
 SKETCH_ROWS, SKETCH_BITS = 3, 17
-#: Documents, and shingles, of a group that meet in one task.
+#: Documents, and shingles, of a cell that meet in one task.
 BLOCK_DOCS = 1500
 BLOCK_SHINGLES = 3_000_000
 #: Cost of a step of the heap against a probe, for the choice of the long lists.
 HEAP_COST = 0.0085
 
 DRAWN = "doc_id long, tag int, n_shingles long, digest binary, first array<long>"
-SETS = "doc_id long, heads array<long>, shingles binary"
 FOUND = "node long, root long, links long"
 
 _U = np.uint64
@@ -129,17 +128,6 @@ def _drawn(width: int, percent: int, counts: np.ndarray):
     return run
 
 
-def _full_sets(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, at, sets in _sets(batches, width):
-            yield pa.record_batch({
-                "doc_id": batch.column("doc_id").slice(at, len(sets)),
-                "heads": batch.column("heads").slice(at, len(sets)),
-                "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
-
-    return run
-
-
 def merge_skip(lists: list[tuple[list[int], list[int]]], need: int) -> list[tuple[int, int, int]]:
     """Ranges of places that stand in at least ``need`` lists, with the number of lists.
 
@@ -266,11 +254,10 @@ def linked(ids: np.ndarray, sets: list[np.ndarray], percent: int, counts_here) -
     return out_label, out_links
 
 
-def _one_group(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+def _one_group(group: pd.DataFrame, sets: list[np.ndarray], percent: int) -> pd.DataFrame:
     ids = group["doc_id"].to_numpy(np.int64)
-    sets = [np.frombuffer(s, _U) for s in group["shingles"]]
-    head, low, high, blocks = (group[c].iat[0] for c in ("head", "low", "high", "blocks"))
-    block = group["block"].to_numpy()
+    head, size_class, low, high, blocks = (group[c].iat[0] for c in ("head", "cell", "low", "high", "blocks"))
+    block, own = group["block"].to_numpy(), group["own"].to_numpy()
     heads = list(group["heads"])
     # Sets that share several heads meet in several groups; the least one counts their link.
     least = np.array([h.min() == head for h in heads])
@@ -283,16 +270,20 @@ def _one_group(group: pd.DataFrame, percent: int) -> pd.DataFrame:
             counted[k] = np.intersect1d(heads[x], heads[ys[k]]).min() == head
         if blocks > 1:
             counted &= (block[ys] != block[x]) | mine[x]
-        return counted
+        return counted & (own[ys] | own[x])  # two of the class below meet there too
 
     root, links = linked(ids, sets, percent, counts_here)
     told = (root != ids) | (links > 0)
     return pd.DataFrame({"node": ids[told], "root": root[told], "links": links[told]})
 
 
-def _search(percent: int):
-    def run(cell: pd.DataFrame) -> pd.DataFrame:
-        parts = [_one_group(group, percent) for _, group in cell.groupby("head", sort=False)]
+def _search(width: int, percent: int):
+    def run(task: pd.DataFrame) -> pd.DataFrame:
+        sets = [s for _, words in wordhash.chunks(pa.array(task["text"], pa.large_string()), fold_case=True)
+                for s in (wordhash.shingles(words.hash[a:b], width)
+                          for a, b in zip(words.first[:-1], words.first[1:], strict=True))]
+        parts = [_one_group(task.iloc[rows], [sets[i] for i in rows], percent)
+                 for rows in task.groupby(["head", "cell"], sort=False).indices.values()]
         return pd.concat(parts, ignore_index=True)
 
     return run
@@ -309,27 +300,48 @@ def groups(drawn: DataFrame) -> DataFrame:
     return reps.select("doc_id", "tag", "n_shingles").join(heads, ["doc_id", "tag"])
 
 
+def cells(members: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, tag, n_shingles, head, cell, own): members by group and class of sizes.
+
+    Linked sets differ in size by no more than the factor 100 / percent, the width of a
+    class, so each set goes to the cell of its class and to that of the next one.
+    """
+    width = math.log(100 / percent) * (1 + 1e-9) or 1e-9  # a bit wider, so that rounding splits no pair
+    size_class = F.floor(F.log("n_shingles") / F.lit(width))
+    headed = members.select("doc_id", "tag", "n_shingles", F.explode("heads").alias("head"), size_class.alias("class"))
+    return headed.select("doc_id", "tag", "n_shingles", "head", "class", F.explode(F.array(
+        F.lit(True), F.lit(False))).alias("own")).select(
+        "doc_id", "tag", "n_shingles", "head", "own", (F.col("class") + F.when(F.col("own"), 0).otherwise(1))
+        .alias("cell"))
+
+
 def searched(members: DataFrame, docs: DataFrame, width: int, percent: int, block_docs: int,
              block_shingles: int) -> DataFrame:
     """(node, root, links): stars of the links inside each group."""
-    shared = members.select(F.explode("heads").alias("head"), "n_shingles").groupBy("head").agg(
-        F.count("*").alias("docs"), F.sum("n_shingles").alias("shingles"))
-    cut = written(shared.select("head", "shingles", F.greatest(
+    placed = cells(members, percent)
+    # A cell of one set, or without one of its own class, has nothing to compare.
+    met = placed.groupBy("head", "cell").agg(
+        F.count("*").alias("docs"), F.bool_or("own").alias("own"),
+        F.sum("n_shingles").alias("shingles")).where("docs > 1 and own").drop("own")
+    cut = written(met.select("head", "cell", "shingles", F.greatest(
         F.ceil(F.col("docs") / block_docs), F.ceil(F.col("shingles") / block_shingles)).cast("int").alias("blocks")))
     whole = cut.where("blocks = 1").agg(F.sum("shingles")).first()[0] or 0
-    cells = max(1, int(whole / block_shingles * 4))  # small groups share a task
-    texts = docs.join(members, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"])
-    sets = texts.select("doc_id", "heads", "text").mapInArrow(_full_sets(width), SETS)
-    rows = sets.withColumn("head", F.explode("heads")).join(cut.drop("shingles"), "head").withColumn(
-        "block", F.pmod(F.xxhash64("doc_id", "shingles"), F.col("blocks")).cast("int"))
-    # A block meets every other one; a group of one block is met as it is.
+    tasks = max(1, int(whole / block_shingles * 4))  # small cells share a task
+    kept = placed.join(cut.drop("shingles"), ["head", "cell"]).groupBy("doc_id", "tag").agg(
+        F.collect_list(F.struct("head", "cell", "own", "blocks")).alias("at"))
+    texts = docs.join(kept.join(members.drop("n_shingles"), ["doc_id", "tag"]), ["doc_id", "tag"])
+    rows = texts.dropDuplicates(["doc_id", "tag"]).select(
+        "doc_id", "heads", "text", F.hash("doc_id", "tag").alias("spread"), F.inline("at"))
+    rows = rows.withColumn("block", F.pmod("spread", F.col("blocks")))
+    # A block meets every other one; a cell of one block is met as it is.
     others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(
         F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("block")))
-    met = rows.withColumn("other", F.explode(others)).select(
-        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("head"), F.lit(cells))).otherwise(F.col("head")).alias("cell"),
-        "head", "blocks", "block", F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"), "doc_id", "heads", "shingles")
-    return met.groupBy("cell", "blocks", "low", "high").applyInPandas(_search(percent), FOUND)
+    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("head", "cell"), F.lit(tasks)))
+    found = rows.withColumn("other", F.explode(others)).select(
+        task.otherwise(F.xxhash64("head", "cell")).alias("task"), "head", "cell", "own", "blocks", "block",
+        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "doc_id", F.when(F.size("heads") > 1, F.col("heads")).otherwise(F.array("head")).alias("heads"), "text")
+    return found.groupBy("task", "blocks", "low", "high").applyInPandas(_search(width, percent), FOUND)
 
 
 def jaccard_join(docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE_WORDS,
