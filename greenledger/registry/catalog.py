@@ -1,6 +1,8 @@
 """All registered queries and their SQL."""
 
-from greenledger.registry import plan_queries, synth_queries, table_queries  # noqa: F401
+from greenledger.registry import (  # noqa: F401
+    labor_queries, plan_queries, synth_queries, table_queries,
+)
 from greenledger.registry.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

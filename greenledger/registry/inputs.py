@@ -201,11 +201,14 @@ class Inputs:
     @cached_property
     def late_demand(self) -> DataFrame:
         """The same with the weeks no planting can reach set to 0."""
-        reachable = F.col("week_id") > F.col("g_min_weeks")
-        return self.demand.join(self.params.select("crop", "g_min_weeks"), "crop").select(
-            "crop", "week_id", F.when(reachable, F.col("demand_lbs")).otherwise(0.0)
-            .alias("demand_lbs"),
-        )
+        return self.reachable(self.demand)
+
+    def reachable(self, demand: DataFrame) -> DataFrame:
+        """Demand with the weeks no planting can reach set to 0."""
+        names = demand.columns
+        reached = F.when(F.col("week_id") > F.col("g_min_weeks"), F.col("demand_lbs")).otherwise(0.0)
+        return demand.join(self.params.select("crop", "g_min_weeks"), "crop").withColumn(
+            "demand_lbs", reached).select(*names)
 
     @cached_property
     def price(self) -> DataFrame:
