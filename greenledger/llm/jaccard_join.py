@@ -12,12 +12,14 @@ size or less: partners are the sets that occur at least T times in its inverted
    least. Sets with many first elements in common have few heads, and a group never holds
    more than the sets that share a first element with its head: links are not closed
    transitively before they are verified.
-4. In each cell every set searches the ones that are not larger by DivideSkip: its short
-   inverted lists are merged by a heap that skips ahead, the long ones are probed by
-   binary search for what the merge left over, and what reaches the overlap that its own
-   size asks for is linked. A task gives a spanning star and numbers of links, no pairs.
-   A cell too large for one task is cut into blocks and each two blocks meet in a task.
-5. The components of all stars are the result.
+4. Bitmaps of two to four bits an element tell for most sets that nothing in their cell
+   can be linked with them: a bit that one lacks is an element that it lacks.
+5. In each cell every set that is left searches the ones that are not larger by
+   DivideSkip: its short inverted lists are merged by a heap that skips ahead, the long
+   ones are probed by binary search for what the merge left over, and what reaches the
+   overlap that both sizes ask for is linked. A task gives a spanning star and numbers of
+   links, no pairs. A cell too large for one task is cut into blocks and each two meet.
+6. The components of all stars are the result.
 
 Defined cases: a null or empty text has an empty set and is linked with nothing; a text of
 fewer words than a shingle has one shingle, its whole sequence; equal rows are one set;
@@ -55,7 +57,8 @@ BLOCK_SHINGLES = 3_000_000
 #: Cost of a step of the heap against a probe, for the choice of the long lists.
 HEAP_COST = 0.0085
 
-DRAWN = "doc_id long, tag int, n_shingles long, digest binary, first array<long>"
+DRAWN = "doc_id long, tag int, n_shingles long, digest binary, first array<long>, bits binary"
+NEAR = "doc_id long, tag int, head long, cell long"
 FOUND = "node long, root long, links long"
 
 _U = np.uint64
@@ -102,6 +105,14 @@ def overlap(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
+def bitmap(elements: np.ndarray) -> bytes:
+    """One bit for each element, of at least two for each; half as many are its two halves in one."""
+    size = max(64, 1 << (2 * len(elements) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(elements & _U(size - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
 def _drawn(width: int, percent: int, counts: np.ndarray):
     def first(elements: np.ndarray, seen: np.ndarray) -> np.ndarray:
         if not len(elements):
@@ -123,7 +134,8 @@ def _drawn(width: int, percent: int, counts: np.ndarray):
                 "digest": pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
                                    pa.binary()),
                 "first": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)),
-                                                  pa.array(np.concatenate(parts).view(np.int64)))})
+                                                  pa.array(np.concatenate(parts).view(np.int64))),
+                "bits": pa.array([bitmap(s) for s in sets], pa.binary())})
 
     return run
 
@@ -289,19 +301,59 @@ def _search(width: int, percent: int):
     return run
 
 
+def maybe_linked(bits: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """The sets that may be linked with another, by their bitmaps.
+
+    Each bit of one set that another lacks is an element that it lacks, which bounds what
+    they share from above.
+    """
+    order = np.argsort(sizes, kind="stable")
+    sizes = sizes[order]
+    least = min(len(b) for b in bits)
+    rows = np.zeros((len(bits), least), np.uint8)
+    for k, i in enumerate(order):
+        rows[k] = np.bitwise_or.reduce(np.frombuffer(bits[i], np.uint8).reshape(-1, least), axis=0)
+    rows = rows.view(np.uint64)
+    near = np.zeros(len(bits), bool)
+    for x in range(1, len(bits)):
+        low = int(np.searchsorted(sizes[:x], overlap(int(sizes[x]), percent)))
+        if low == x:
+            continue
+        mine, theirs = rows[x], rows[low:x]
+        shared = np.minimum(sizes[x] - np.bitwise_count(mine & ~theirs).sum(axis=1, dtype=np.int64),
+                            sizes[low:x] - np.bitwise_count(theirs & ~mine).sum(axis=1, dtype=np.int64))
+        may = np.flatnonzero(100 * shared >= percent * (sizes[x] + sizes[low:x] - shared))
+        near[low + may] = True
+        near[x] |= len(may) > 0
+    out = np.empty(len(bits), bool)
+    out[order] = near
+    return out
+
+
+def _near(percent: int):
+    def run(task: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for _, group in task.groupby(["head", "cell"], sort=False):
+            may = maybe_linked(list(group["bits"]), group["n_shingles"].to_numpy(np.int64), percent)
+            parts.append(group.loc[may, ["doc_id", "tag", "head", "cell"]])
+        return pd.concat(parts, ignore_index=True)
+
+    return run
+
+
 def groups(drawn: DataFrame) -> DataFrame:
-    """(doc_id, tag, n_shingles, heads) of the classes that share a first element with another."""
+    """(doc_id, tag, n_shingles, bits, heads) of the classes that share a first element with another."""
     reps = drawn.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "tag", "n_shingles", "first")).alias("rep")).select("rep.*")
+        F.min(F.struct("doc_id", "tag", "n_shingles", "first", "bits")).alias("rep")).select("rep.*")
     firsts = reps.select("doc_id", "tag", F.explode("first").alias("element"))
-    cells = firsts.groupBy("element").agg(
+    shared = firsts.groupBy("element").agg(
         F.min(F.xxhash64("doc_id", "tag")).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    heads = firsts.join(cells, "element").groupBy("doc_id", "tag").agg(F.collect_set("head").alias("heads"))
-    return reps.select("doc_id", "tag", "n_shingles").join(heads, ["doc_id", "tag"])
+    heads = firsts.join(shared, "element").groupBy("doc_id", "tag").agg(F.collect_set("head").alias("heads"))
+    return reps.drop("first").join(heads, ["doc_id", "tag"])
 
 
 def cells(members: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, tag, n_shingles, head, cell, own): members by group and class of sizes.
+    """(doc_id, tag, n_shingles, head, own, cell): members by group and class of sizes.
 
     Linked sets differ in size by no more than the factor 100 / percent, the width of a
     class, so each set goes to the cell of its class and to that of the next one.
@@ -309,39 +361,48 @@ def cells(members: DataFrame, percent: int) -> DataFrame:
     width = math.log(100 / percent) * (1 + 1e-9) or 1e-9  # a bit wider, so that rounding splits no pair
     size_class = F.floor(F.log("n_shingles") / F.lit(width))
     headed = members.select("doc_id", "tag", "n_shingles", F.explode("heads").alias("head"), size_class.alias("class"))
-    return headed.select("doc_id", "tag", "n_shingles", "head", "class", F.explode(F.array(
-        F.lit(True), F.lit(False))).alias("own")).select(
-        "doc_id", "tag", "n_shingles", "head", "own", (F.col("class") + F.when(F.col("own"), 0).otherwise(1))
-        .alias("cell"))
+    return headed.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("own")).withColumn(
+        "cell", F.col("class") + F.when(F.col("own"), 0).otherwise(1)).drop("class")
 
 
-def searched(members: DataFrame, docs: DataFrame, width: int, percent: int, block_docs: int,
-             block_shingles: int) -> DataFrame:
-    """(node, root, links): stars of the links inside each group."""
-    placed = cells(members, percent)
-    # A cell of one set, or without one of its own class, has nothing to compare.
-    met = placed.groupBy("head", "cell").agg(
-        F.count("*").alias("docs"), F.bool_or("own").alias("own"),
-        F.sum("n_shingles").alias("shingles")).where("docs > 1 and own").drop("own")
-    cut = written(met.select("head", "cell", "shingles", F.greatest(
+def in_tasks(placed: DataFrame, block_docs: int, block_shingles: int) -> DataFrame:
+    """Rows of cells with the tasks they go to: (.., blocks, block, task, low, high).
+
+    A cell of one set, or without one of its own class, has nothing to compare and drops
+    out. Small cells share a task; a large one is cut into blocks, and each two blocks meet.
+    """
+    cut = written(placed.groupBy("head", "cell").agg(
+        F.count("*").alias("docs"), F.bool_or("own").alias("own"), F.sum("n_shingles").alias("shingles"),
+    ).where("docs > 1 and own").select("head", "cell", "shingles", F.greatest(
         F.ceil(F.col("docs") / block_docs), F.ceil(F.col("shingles") / block_shingles)).cast("int").alias("blocks")))
     whole = cut.where("blocks = 1").agg(F.sum("shingles")).first()[0] or 0
-    tasks = max(1, int(whole / block_shingles * 4))  # small cells share a task
-    kept = placed.join(cut.drop("shingles"), ["head", "cell"]).groupBy("doc_id", "tag").agg(
-        F.collect_list(F.struct("head", "cell", "own", "blocks")).alias("at"))
-    texts = docs.join(kept.join(members.drop("n_shingles"), ["doc_id", "tag"]), ["doc_id", "tag"])
-    rows = texts.dropDuplicates(["doc_id", "tag"]).select(
-        "doc_id", "heads", "text", F.hash("doc_id", "tag").alias("spread"), F.inline("at"))
-    rows = rows.withColumn("block", F.pmod("spread", F.col("blocks")))
-    # A block meets every other one; a cell of one block is met as it is.
+    tasks = max(1, int(whole / block_shingles * 4))
+    rows = placed.join(cut.drop("shingles"), ["head", "cell"]).withColumn(
+        "block", F.pmod(F.hash("doc_id", "tag"), F.col("blocks")))
     others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(
         F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("block")))
-    task = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("head", "cell"), F.lit(tasks)))
-    found = rows.withColumn("other", F.explode(others)).select(
-        task.otherwise(F.xxhash64("head", "cell")).alias("task"), "head", "cell", "own", "blocks", "block",
-        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "doc_id", F.when(F.size("heads") > 1, F.col("heads")).otherwise(F.array("head")).alias("heads"), "text")
-    return found.groupBy("task", "blocks", "low", "high").applyInPandas(_search(width, percent), FOUND)
+    cell = F.xxhash64("head", "cell")
+    return rows.withColumn("other", F.explode(others)).select(
+        "*", F.when(F.col("blocks") == 1, F.pmod(cell, F.lit(tasks))).otherwise(cell).alias("task"),
+        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).drop("other")
+
+
+TASK = ("task", "blocks", "low", "high")
+
+
+def searched(members: DataFrame, docs: DataFrame, width: int, percent: int, block_docs: int,
+             block_shingles: int) -> DataFrame:
+    """(node, root, links): stars of the links inside each cell."""
+    doc = ["doc_id", "tag"]
+    placed = cells(members, percent)
+    sketched = in_tasks(placed, block_docs, block_shingles).join(members.select(*doc, "bits"), doc)
+    near = written(sketched.groupBy(*TASK).applyInPandas(_near(percent), NEAR).distinct())
+    left = in_tasks(placed.join(near, [*doc, "head", "cell"]), block_docs, block_shingles)
+    at = ("head", "cell", "own", "block", *TASK)
+    kept = left.groupBy(*doc).agg(F.collect_list(F.struct(*at)).alias("at"))
+    texts = docs.join(kept.join(members.select(*doc, "heads"), doc), doc).dropDuplicates(doc)
+    rows = texts.select("doc_id", "heads", "text", F.inline("at"))
+    return rows.groupBy(*TASK).applyInPandas(_search(width, percent), FOUND)
 
 
 def jaccard_join(docs: DataFrame, percent: int = LINK_PERCENT, width: int = SHINGLE_WORDS,

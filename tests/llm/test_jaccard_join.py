@@ -115,3 +115,22 @@ def test_partners_equal_all_pairs(percent):
             if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
                 want.append(y)
         assert sorted(lists.partners(x, percent).tolist()) == want
+
+
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_bitmaps_never_hide_a_link(percent):
+    rng = np.random.default_rng(percent + 1)
+    for _ in range(20):
+        base = rng.integers(0, 2**63, rng.integers(1, 150)).astype(np.uint64)
+        sets = [np.unique(np.append(base[rng.random(len(base)) < rng.choice([0.5, 0.9, 0.97])],
+                                    rng.integers(0, 2**63, rng.integers(1, 12)).astype(np.uint64)))
+                for _ in range(30)]
+        sizes = np.array([len(s) for s in sets])
+        may = jaccard_join.maybe_linked([jaccard_join.bitmap(s) for s in sets], sizes, percent)
+        for x, a in enumerate(sets):
+            for y, b in enumerate(sets[:x]):
+                both = len(np.intersect1d(a, b))
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    assert may[x] and may[y]
+    far = [np.arange(1, 200, dtype=np.uint64) * np.uint64(7919 + k) for k in range(5)]
+    assert not jaccard_join.maybe_linked([jaccard_join.bitmap(s) for s in far], np.full(5, 199), 80).any()
