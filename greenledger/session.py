@@ -50,6 +50,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/greenledger-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, read back with their schema.
+
+    It cuts the lineage of a loop, and lost executors cost no recompute of it.
+    """
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, *cols: str) -> DataFrame:
     """Hash rows over all shuffle partitions ahead of a step that multiplies them.
 
