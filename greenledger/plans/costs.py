@@ -132,6 +132,19 @@ def cost_breakdown(evaluated: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def cost_cube(valued: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Tray-bound costs for every set of dimensions, in one aggregate over the valued ledger.
+
+    ``level`` has one bit per dimension, the first one highest, set where it is summed over.
+    Money that depends on a whole week, such as labor, does not split by crop and is not here.
+    """
+    return valued.cube(*dims).agg(
+        F.grouping_id().cast("int").alias("level"),
+        F.sum("trays_in_stock").alias("tray_weeks"),
+        *(F.sum(c).alias(c) for c in ("seed_cost", "nutrient_cost", "waste_lbs")),
+    )
+
+
 def utilization_weekly(evaluated: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Use of racks, labor and process per week; labor divides by base plus used overtime."""
     rack = F.col("trays_in_stock").cast("double")
