@@ -54,6 +54,8 @@ SKETCH_ROWS, SKETCH_BITS = 3, 17
 #: Documents, and shingles, of a cell that meet in one task.
 BLOCK_DOCS = 1500
 BLOCK_SHINGLES = 3_000_000
+#: Tasks that as many documents, or shingles, of small cells are dealt over.
+SHARE = 8
 #: Cost of a step of the heap against a probe, for the choice of the long lists.
 HEAP_COST = 0.0085
 
@@ -373,11 +375,11 @@ def in_tasks(placed: DataFrame, block_docs: int, block_shingles: int) -> DataFra
     """
     cut = written(placed.groupBy("head", "cell").agg(
         F.count("*").alias("docs"), F.bool_or("own").alias("own"), F.sum("n_shingles").alias("shingles"),
-    ).where("docs > 1 and own").select("head", "cell", "shingles", F.greatest(
+    ).where("docs > 1 and own").select("head", "cell", "docs", "shingles", F.greatest(
         F.ceil(F.col("docs") / block_docs), F.ceil(F.col("shingles") / block_shingles)).cast("int").alias("blocks")))
-    whole = cut.where("blocks = 1").agg(F.sum("shingles")).first()[0] or 0
-    tasks = max(1, int(whole / block_shingles * 4))
-    rows = placed.join(cut.drop("shingles"), ["head", "cell"]).withColumn(
+    small = cut.where("blocks = 1").agg(F.sum("docs"), F.sum("shingles")).first()
+    tasks = 1 + int(SHARE * max((small[0] or 0) / block_docs, (small[1] or 0) / block_shingles))
+    rows = placed.join(cut.drop("docs", "shingles"), ["head", "cell"]).withColumn(
         "block", F.pmod(F.hash("doc_id", "tag"), F.col("blocks")))
     others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(
         F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("block")))
