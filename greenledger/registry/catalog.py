@@ -1,7 +1,7 @@
 """All registered queries and their SQL."""
 
 from greenledger.registry import (  # noqa: F401
-    choice_queries, labor_queries, plan_queries, synth_queries, table_queries,
+    choice_queries, flow_queries, labor_queries, plan_queries, synth_queries, table_queries,
 )
 from greenledger.registry.base import ORACLES, QUERIES
 
