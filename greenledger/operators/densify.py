@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: the price used when no week of the horizon has one.
 DEFAULT_PRICE = 0.13
+#: Metadata of a filled column: it has one row, with a value, for each week up to this one.
+COMPLETE_WEEKS = "complete_weeks"
 
 
 def _on_grid(
@@ -89,4 +91,6 @@ def densify_mean(
     else:
         fill = cells.agg(F.avg(value)).scalar()
     filled = F.coalesce(F.col(value), fill, F.lit(float(default)))
+    if weeks is not None:
+        filled = filled.alias(value, metadata={COMPLETE_WEEKS: weeks})
     return _keep(cells.withColumn(value, filled), value)

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from greenledger.functions.columns import effective_yield
-from greenledger.operators.densify import DEFAULT_PRICE
+from greenledger.operators.densify import COMPLETE_WEEKS, DEFAULT_PRICE
+from greenledger.session import spread
+
+
+# Fixed value: the least energy of a tray and day.
+TRAY_KWH_FLOOR = 0.01
 
 
 def rollup_demand(daily: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -66,8 +71,14 @@ def join_price(
     No row is lost and none doubled, whatever the horizon: several prices of a week
     count as their mean, and a week without one takes the mean of the weeks that have
     one (of its key; those of the horizon, if it is given), or the default without any.
+    A price that was filled for the whole horizon says so in its metadata and is joined
+    as it is.
     """
     own = [k for k in keys if k in price.columns]
+    complete = price.schema["price_per_kwh"].metadata.get(COMPLETE_WEEKS, 0)
+    if weeks is not None and weeks <= complete:
+        joined = df.join(price.select(*own, "week_id", "price_per_kwh"), [*own, "week_id"], "left")
+        return joined.withColumn("price_per_kwh", F.coalesce("price_per_kwh", F.lit(DEFAULT_PRICE)))
     price = price.select(*own, "week_id", "price_per_kwh")
     if weeks is not None:
         price = price.filter(F.col("week_id").between(1, weeks))
@@ -88,6 +99,27 @@ def join_weekly_level(daily: DataFrame, weekly: DataFrame, keys: Sequence[str] =
     return daily.join(weekly, [*keys, "crop", "week_id"])
 
 
+def expand_counts(counts: DataFrame, keys: Sequence[str] = (), chunk: int = 10_000) -> DataFrame:
+    """One row per active tray of a daily count, with an id of its own and its share of the energy.
+
+    A count is first cut into chunks, the chunks are spread over the cluster, and only then
+    expanded, so one huge count is neither one array nor one task. Counts of 0 give no row.
+    """
+    day = ["date", *keys, "week_id", "crop"]
+    n = F.col("active_trays")
+    share = F.greatest(F.col("kwh_used") / n, F.lit(TRAY_KWH_FLOOR))
+    starts = F.sequence(F.lit(0).cast("long"), n - 1, F.lit(chunk).cast("long"))
+    chunks = spread(counts.filter(n > 0).select(
+        *day, "stage_age_days", share.alias("kwh_used"), "active_trays", F.explode(starts).alias("first_tray")),
+        *day, "first_tray")
+    last = F.least(F.col("first_tray") + chunk, n) - 1
+    trays = chunks.select(*day, "stage_age_days", "kwh_used", F.explode(F.sequence("first_tray", last)).alias("tray"))
+    return trays.select(
+        *day, F.concat_ws("_", *keys, "crop", F.replace("date", F.lit("-"), F.lit("")),
+                          F.format_string("%05d", "tray")).alias("tray_id"),
+        "stage_age_days", "kwh_used", F.lit(True).alias("is_active"))
+
+
 def disaggregate_observed(
     weekly: DataFrame, daily: DataFrame, value: str, observed: str, keys: Sequence[str] = ()
 ) -> DataFrame:

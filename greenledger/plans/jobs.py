@@ -133,8 +133,7 @@ def report_and_write(
     spark: SparkSession, weekly_dir: str, out_dir: str, params: DataFrame, weeks: int,
     keyed_by: StructType = StructType([]),
 ) -> dict[str, str]:
-    """Report over the written outputs. ``keyed_by`` is the schema of the key columns;
-    the text lines are made for a single site only."""
+    """Report over the written outputs. ``keyed_by`` is the schema of the key columns."""
     keys = keyed_by.fieldNames()
     costs = read_json(
         spark, table_path(out_dir, "cost_breakdown", "json"), _keyed(COST_BREAKDOWN, keyed_by)
@@ -148,22 +147,28 @@ def report_and_write(
     paths = {
         "report_summary": write_json(summary, table_path(out_dir, "report_summary", "json"))
     }
-    if not keys:
-        paths["report_lines"] = write_csv(
-            report_lines(summary, costs), table_path(out_dir, "report_lines", "csv")
-        )
+    paths["report_lines"] = write_csv(
+        report_lines(summary, costs, keys), table_path(out_dir, "report_lines", "csv")
+    )
     return paths
 
 
+def write_daily(frames: Mapping[str, DataFrame], directory: str) -> dict[str, str]:
+    """Write the four daily tables and return their paths."""
+    return {name: write_table(frames[name], directory, name) for name in DAILY}
+
+
 def run_given(
     spark: SparkSession, frames: Mapping[str, DataFrame], directory: str, params: DataFrame,
-    scen: Scenario, weeks: int, mode: str | None = None, init: DataFrame | None = None,
+    scen: Scenario | DataFrame, weeks: int, mode: str | None = None, init: DataFrame | None = None,
+    keys: Sequence[str] = (),
 ) -> dict[str, str]:
-    """Aggregate, plan and report one site over daily tables that exist."""
+    """Aggregate, plan and report over daily tables that exist: one site, or one per key."""
     weekly, out = f"{directory}/weekly", f"{directory}/outputs"
-    paths = aggregate_frames(spark, frames, weekly, mode)
-    paths.update(plan_and_write(spark, weekly, out, params, scen, weeks, init=init))
-    paths.update(report_and_write(spark, weekly, out, params, weeks))
+    keyed_by = StructType([frames["demand_daily"].schema[key] for key in keys])
+    paths = aggregate_frames(spark, frames, weekly, mode, keys)
+    paths.update(plan_and_write(spark, weekly, out, params, scen, weeks, keys, init))
+    paths.update(report_and_write(spark, weekly, out, params, weeks, keyed_by))
     return paths
 
 

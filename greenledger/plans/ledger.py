@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from greenledger.functions.columns import CHECK_TOLERANCE, effective_yield
 from greenledger.operators.rollup import join_price
 
+#: The rates of a crop that bounds on cost take as not negative.
+RATES = ("plant_hours_per_tray", "harvest_hours_per_tray", "seed_cost_per_tray",
+         "nutrient_cost_per_tray_week", "energy_kwh_per_tray_week")
 TRAY_COLUMNS = ("trays_planted", "trays_harvested", "trays_in_stock")
 
 
@@ -91,6 +94,7 @@ def valued_ledger(ledger: DataFrame, params: DataFrame, keys: Sequence[str] = ()
         (planted * F.col("seed_cost_per_tray")).alias("seed_cost"),
         (stock * F.col("nutrient_cost_per_tray_week")).alias("nutrient_cost"),
         (stock * F.col("energy_kwh_per_tray_week")).alias("energy_kwh"),
+        (F.least(*RATES) < 0).alias("has_negative_rate"),
     )
 
 
@@ -113,6 +117,7 @@ def sum_weeks(valued: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         *(F.sum(c).alias(c) for c in WEEK_SUMS),
         F.count_if("is_short").alias("short_cells"),
         F.count_if("is_early").alias("early_cells"),
+        F.count_if("has_negative_rate").alias("negative_rate_cells"),
     )
 
 

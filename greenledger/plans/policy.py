@@ -24,7 +24,7 @@ from greenledger.session import written
 from greenledger.sources.parameters import Scenario, attach_scenario
 
 #: What adds up over the crops of a week.
-LOADS = (*WEEK_SUMS, "short_cells", "early_cells")
+LOADS = (*WEEK_SUMS, "short_cells", "early_cells", "negative_rate_cells")
 ROUNDS, PASSES = 6, 4
 
 
@@ -39,7 +39,8 @@ def offset_loads(
     valued = valued_ledger(crop_ledger(offset_plans(demand, params, keys), wanted, weeks, by), params, by)
     return valued.select(
         *keys, "crop", "age_offset", "week_id", *(F.col(c).cast("double").alias(c) for c in WEEK_SUMS),
-        F.col("is_short").cast("double").alias("short_cells"), F.col("is_early").cast("double").alias("early_cells"))
+        F.col("is_short").cast("double").alias("short_cells"), F.col("is_early").cast("double").alias("early_cells"),
+        F.col("has_negative_rate").cast("double").alias("negative_rate_cells"))
 
 
 def _summed(loads: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -87,12 +87,12 @@ REPORT_LINES = (
 COST_LINE = "- %s: $%.2f"
 
 
-def report_lines(summary: DataFrame, costs: DataFrame) -> DataFrame:
-    """The report as ordered lines: the summary figures, then the cost parts."""
+def report_lines(summary: DataFrame, costs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The report as ordered lines, per key: the summary figures, then the cost parts."""
 
     def lines(df: DataFrame, texts: Sequence[Column], first: int) -> DataFrame:
-        return df.select(F.posexplode(F.array(*texts)).alias("pos", "line")).select(
-            (F.col("pos") + first).cast("int").alias("line_no"), "line"
+        return df.select(*keys, F.posexplode(F.array(*texts)).alias("pos", "line")).select(
+            *keys, (F.col("pos") + first).cast("int").alias("line_no"), "line"
         )
 
     def figure(name: str, text: str) -> Column:

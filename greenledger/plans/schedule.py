@@ -18,6 +18,22 @@ def demand_trays(demand: DataFrame, params: DataFrame, keys: Sequence[str] = ())
     )
 
 
+def planned_demand(
+    trays: DataFrame, grid: DataFrame, params: DataFrame, safety: float, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Weekly demand that whole trays can meet: (keys.., crop, week_id, demand_lbs, demand_trays_est).
+
+    ``trays`` counts trays per crop and week. Their sellable pounds, less a safety margin,
+    are demand in weeks the crop can be grown by; other cells of the grid have none.
+    """
+    cells = [*keys, "crop", "week_id"]
+    filled = grid.join(trays.select(*cells, "trays"), cells, "left").join(params, "crop")
+    counted = F.when(F.col("week_id") > F.col("g_min_weeks"), F.coalesce("trays", F.lit(0))).otherwise(0).cast("long")
+    return filled.select(
+        *cells, (counted * effective_yield() * F.lit(float(safety))).alias("demand_lbs"),
+        counted.alias("demand_trays_est"))
+
+
 def _plant_before(needed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return needed.select(
         *keys, "crop",

@@ -23,6 +23,13 @@ def _over(used: str, capacity: str) -> Column:
     return F.col(used) > F.col(capacity) + CHECK_TOLERANCE
 
 
+def _negative_rate() -> Column:
+    """Whether a week's rates, wherever they come from, break the bound."""
+    reduction = F.col("shift_labor_reduction_pct")
+    return (F.least("base_wage_per_hour", "overtime_premium_per_hour", "shift_fixed_cost_per_week",
+                    "disposal_cost_per_lb_waste", "price_per_kwh") < 0) | (reduction < 0) | (reduction > 1)
+
+
 def certify(
     evaluated: DataFrame, keys: Sequence[str] = (), initial_stock: bool = False
 ) -> DataFrame:
@@ -40,7 +47,8 @@ def certify(
     * ``undecided``: only labor does not fit; an earlier planting may still work.
 
     With initial stock the bound does not hold, so the status is only ``feasible`` or
-    ``undecided``.
+    ``undecided``. Nor does it with a negative rate, or a shift that adds hours: bound and
+    gap are null then, and no plan is called optimal.
     """
     summed = evaluated.groupBy(*keys).agg(
         F.sum("total_cost").alias("total_cost"),
@@ -54,20 +62,23 @@ def certify(
             "process_over_weeks"
         ),
         F.count_if(~F.col("overtime_feasible")).alias("labor_over_weeks"),
+        (F.sum("negative_rate_cells") + F.count_if(_negative_rate())).alias("negative_rates"),
     )
     over_cap = F.greatest("short_cells", "rack_over_weeks", "process_over_weeks") > 0
     short_of_labor = F.col("labor_over_weeks") > 0
+    bounded = F.col("negative_rates") == 0
     if initial_stock:
         status = F.when(over_cap | short_of_labor, "undecided").otherwise("feasible")
     else:
         status = (
             F.when(over_cap | (F.col("early_cells") > 0), "infeasible_proven")
             .when(short_of_labor, "undecided")
-            .when(F.col("gap") <= GAP_TOLERANCE, "optimal")
+            .when((F.col("gap") <= GAP_TOLERANCE) & bounded, "optimal")
             .otherwise("feasible_gap")
         )
     return summed.select(
-        *keys, "total_cost", (F.col("total_cost") - F.col("gap")).alias("lower_bound"), "gap",
+        *keys, "total_cost", F.when(bounded, F.col("total_cost") - F.col("gap")).alias("lower_bound"),
+        F.when(bounded, F.col("gap")).alias("gap"),
         "early_cells", "rack_over_weeks", "process_over_weeks", "labor_over_weeks",
         status.alias("status"),
     )

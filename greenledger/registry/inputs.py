@@ -296,12 +296,15 @@ class Inputs:
     def nations(self) -> DataFrame:
         return self.given("nation").select(F.col("n_nationkey").alias("facility"))
 
-    @cached_property
-    def nation_demand(self) -> DataFrame:
-        """Dense weekly demand per supplier nation."""
-        lines = self.demand_lines(weeks=WEEKS)
+    def nation_lines(self, weeks: int | None = None) -> DataFrame:
+        """Demand rows with the nation of their supplier."""
         suppliers = self.given("supplier").select(
             F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("facility")
         )
+        return self.demand_lines(weeks=weeks, first_week=1 if weeks else None).join(suppliers, "l_suppkey")
+
+    @cached_property
+    def nation_demand(self) -> DataFrame:
+        """Dense weekly demand per supplier nation."""
         grid = crop_week_grid(self.params, WEEKS, self.nations)
-        return densify_zero(lines.join(suppliers, "l_suppkey"), grid, "demand_lbs", WEEKS)
+        return densify_zero(self.nation_lines(WEEKS), grid, "demand_lbs", WEEKS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -35,7 +37,7 @@ from greenledger.registry.sql import (
     cost_sql,
     rnd,
 )
-from greenledger.session import scratch_dir
+from greenledger.session import scratch_dir, written
 from greenledger.sources import schemas, tables
 
 D = "::DOUBLE"
@@ -659,6 +661,42 @@ def _(i: Inputs):
     return costs.cost_breakdown(_nation_weeks(i), FACILITY)
 
 
+#: Sums of short decimals end in an exact half, which engines round either way.
+OFF_HALVES = 1e-6
+_LINE_VALUES = [
+    ("weeks", f"{WEEKS}::INTEGER"), ("num_crops", "(SELECT count(*) FROM params)::INTEGER"),
+    ("total_demand_lbs", "d"), ("total_produced_lbs", "sum(produced_lbs)"), ("total_waste_lbs", "sum(waste_lbs)"),
+    *((f"avg_{n}_utilization", f"avg({e})") for n, e in RATIOS.items()), ("total_cost", "sum(total_cost)"),
+]
+_OFF = {"total": f" + {OFF_HALVES}{D}"}
+CTES["nat_summary"] = f"""
+    SELECT facility, {', '.join(f'{e}{_OFF.get(n[:5], "")} AS {n}' for n, e in _LINE_VALUES)}
+    FROM nv_ev JOIN (SELECT facility, sum(demand_lbs) AS d FROM nat_facts GROUP BY facility) USING (facility)
+    GROUP BY facility, d"""
+CTES["nat_costs"] = "SELECT facility, " + ", ".join(
+    f"sum({c}) + {OFF_HALVES}{D} AS {c}" for c in (*COST_NAMES, "total_cost")) + " FROM nv_ev GROUP BY facility"
+
+
+@query(
+    "report_lines_by_facility",
+    re.sub(r"SELECT (\d+::INTEGER)", r"SELECT facility, \1", LINES_SQL).replace(
+        "summary_row", "nat_summary").replace("cost_row", "nat_costs"),
+)
+def _(i: Inputs):
+    """The report of every facility, as lines."""
+    weeks = written(_nation_weeks(i))
+    plan = schedule.back_schedule(i.nation_demand, i.params, FACILITY)
+    harvest = costs.solution_harvest(plan, i.nation_demand, i.params, WEEKS, FACILITY)
+    breakdown = costs.cost_breakdown(weeks, FACILITY)
+    summary = report.report_summary(
+        i.nation_lines(), harvest, costs.utilization_weekly(weeks, FACILITY), breakdown, i.params, WEEKS, FACILITY)
+
+    def off_halves(df):
+        return df.withColumns({c: F.col(c) + OFF_HALVES for c in df.columns if c.startswith("total") or c in COST_NAMES})
+
+    return report.report_lines(off_halves(summary), off_halves(breakdown), FACILITY)
+
+
 CTES["nv_rated"] = certificate_sql("nv_ev", "facility, ")
 
 

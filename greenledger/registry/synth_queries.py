@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from greenledger.functions.columns import noise_int, noise_normal, noise_uniform, seasonal
 from greenledger.operators import calendar as cal
 from greenledger.operators import synth
-from greenledger.operators.rollup import disaggregate_observed, with_effective_yield
-from greenledger.plans.schedule import demand_trays
+from greenledger.operators.rollup import disaggregate_observed, expand_counts, with_effective_yield
+from greenledger.plans import jobs
+from greenledger.plans.schedule import demand_trays, planned_demand
 from greenledger.registry.base import query
 from greenledger.registry.inputs import (
     ANCHOR,
@@ -19,6 +20,10 @@ from greenledger.registry.inputs import (
     Inputs,
 )
 from greenledger.registry.sql import CTES, normal, rnd, uniform, week_of
+from greenledger.session import scratch_dir
+from greenledger.sources import schemas
+from greenledger.sources.parameters import Scenario
+from greenledger.sources.tables import read_table
 
 D = "::DOUBLE"
 #: Means of a few short decimals end in an exact half; engines round that either way.
@@ -143,10 +148,15 @@ def _(i: Inputs):
 
 @query(
     "weekly_demand",
-    f"SELECT crop, week_id, {rnd('demand_lbs', 'demand_lbs')}, trays_est AS demand_trays_est FROM obs",
+    f"""SELECT crop, week_id, {rnd(f'n * eff * 0.90{D}', 'demand_lbs')}, n AS demand_trays_est
+        FROM (SELECT g.crop, g.week_id, eff, CASE WHEN g.week_id > g_min_weeks
+                     THEN coalesce(trays_est, 0) ELSE 0 END::BIGINT AS n
+              FROM grid g JOIN params USING (crop) LEFT JOIN obs USING (crop, week_id))""",
 )
 def _(i: Inputs):
-    return _observed(i).select("crop", "week_id", "demand_lbs", "demand_trays_est")
+    """Demand that the observed trays can meet, with the shipped safety factor."""
+    trays = _observed(i).select("crop", "week_id", F.col("demand_trays_est").alias("trays"))
+    return planned_demand(trays, i.crop_grid, i.params, Scenario().safety_factor)
 
 
 @query(
@@ -193,11 +203,14 @@ def _(i: Inputs):
 
 @query(
     "telemetry_rows",
-    f"""SELECT date, week_id, crop, tray_id, stage_age_days, {rnd('kwh_used', 'kwh_used')}, is_active
-        FROM tele_rows""",
+    f"""SELECT date, week_id, crop, crop || '_' || replace(date, '-', '') || '_' || printf('%05d', tray) AS tray_id,
+               stage_age_days, {rnd('kwh', 'kwh_used')}, true AS is_active
+        FROM (SELECT *, greatest(kwh_used / active_trays, 0.01{D}) AS kwh,
+                     unnest(range(0, active_trays)) AS tray FROM tele_counts)""",
 )
 def _(i: Inputs):
-    return i.telemetry_rows()
+    """One row per active tray of each daily count."""
+    return expand_counts(i.telemetry_counts())
 
 
 @query(
@@ -209,17 +222,26 @@ def _(i: Inputs):
                {rnd('sum(energy_price_per_kwh)', 'total')} FROM prices GROUP BY ALL
         UNION ALL
         SELECT week_id, 'telemetry_tray_daily', count(*), {rnd('sum(kwh_used)', 'total')}
-        FROM tele_counts GROUP BY ALL""",
+        FROM tele_counts GROUP BY ALL
+        UNION ALL
+        SELECT NULL, 'crop_params', count(*), {rnd('sum(yield_lbs_per_tray)', 'total')} FROM used_params""",
 )
 def _(i: Inputs):
-    """Rows and totals per week of the daily tables made from the given ones."""
-    def summed(df, name: str, value: str):
-        return df.groupBy("week_id").agg(
+    """The four daily tables made from the given ones, written, read back and summed per week."""
+    out = scratch_dir(i.spark)
+    jobs.write_daily({"demand_daily": i.demand_daily(), "prices_energy_daily": i.prices_daily(),
+                      "crop_params": i.used_params, "telemetry_tray_daily": i.telemetry_counts()}, out)
+
+    def summed(name: str, schema, value: str):
+        df = read_table(i.spark, out, name, schema)
+        week = "week_id" if "week_id" in df.columns else F.lit(None).cast("int").alias("week_id")
+        return df.groupBy(week).agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
             F.sum(value).alias("total"))
 
     return (
-        summed(i.demand_daily(), "demand_daily", "demand_lbs")
-        .unionByName(summed(i.prices_daily(), "prices_energy_daily", "energy_price_per_kwh"))
-        .unionByName(summed(i.telemetry_counts(), "telemetry_tray_daily", "kwh_used"))
+        summed("demand_daily", schemas.DEMAND_DAILY, "demand_lbs")
+        .unionByName(summed("prices_energy_daily", schemas.PRICES_DAILY, "energy_price_per_kwh"))
+        .unionByName(summed("telemetry_tray_daily", schemas.TELEMETRY_COUNTS, "kwh_used"))
+        .unionByName(summed("crop_params", schemas.CROP_PARAMS, "yield_lbs_per_tray"))
     )

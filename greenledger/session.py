@@ -35,7 +35,7 @@ def build_session(app_name: str = "greenledger", master: str | None = None, **co
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh folder for this run below the shared folder of the cluster.
+    """A fresh folder below the shared folder of the cluster, removed when the session ends.
 
     The cluster names the shared folder in ``spark.checkpoint.dir``. Only a local
     session, whose executors all see this machine, may go without it.
@@ -47,7 +47,12 @@ def scratch_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = LOCAL_FOLDER
-    return f"{base.rstrip('/')}/greenledger-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/greenledger-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(path)
+    files.deleteOnExit(path)  # results may be read as long as the session lives
+    return folder
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -55,7 +60,7 @@ def written(df: DataFrame) -> DataFrame:
 
     It cuts the lineage of a loop, and lost executors cost no recompute of it.
     """
-    path = scratch_dir(df.sparkSession)
+    path = f"{scratch_dir(df.sparkSession)}/rows"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
