@@ -183,3 +183,23 @@ FROM sized JOIN roots USING (doc_id) LEFT JOIN degrees USING (doc_id)"""
 ORACLES["op1_near_dups"] = _LINKED_SQL.format(percent=85, more="doc_id = component_id AS kept")
 ORACLES["op11_jaccard_join"] = _LINKED_SQL.format(
     percent=80, more="coalesce(n_links, 0)::BIGINT AS n_links")
+
+
+ORACLES["op8_repeated_passages"] = """
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM split)),
+firsts AS (SELECT g, min(doc_id) AS least FROM windows GROUP BY g HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, i + k AS place
+  FROM (SELECT doc_id, i, unnest(range(0, 13)) AS k FROM windows JOIN firsts USING (g) WHERE least < doc_id)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM split),
+kept AS (
+  SELECT doc_id, count(*)::BIGINT AS n_kept, string_agg(word, ' ' ORDER BY place) AS text
+  FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)"""
