@@ -12,7 +12,6 @@ from pyspark.sql.types import StructType
 from greenledger.operators.calendar import cross_weeks, crop_week_grid, week_grid
 from greenledger.operators.densify import densify_mean, densify_zero
 from greenledger.operators.rollup import rollup_demand, rollup_price, rollup_telemetry
-from greenledger.operators.synth import generate
 from greenledger.plans.costs import (
     cost_breakdown,
     evaluate_weeks,
@@ -170,33 +169,3 @@ def run_given(
     paths.update(plan_and_write(spark, weekly, out, params, scen, weeks, keys, init))
     paths.update(report_and_write(spark, weekly, out, params, weeks, keyed_by))
     return paths
-
-
-def generate_and_aggregate(
-    spark: SparkSession, entities: DataFrame, params: DataFrame, directory: str, start: str,
-    weeks: int, seed: int, keys: Sequence[str] = (), mode: str = "rows",
-) -> dict[str, str]:
-    """Generate the raw tables and roll them up, in one session."""
-    generate(spark, entities, params, f"{directory}/raw", start, weeks, seed, keys, mode)
-    return aggregate_tables(spark, f"{directory}/raw", f"{directory}/weekly", mode, keys)
-
-
-def run_all(
-    spark: SparkSession, directory: str, params: DataFrame, scen: Scenario | DataFrame,
-    start: str, weeks: int, seed: int, keys: Sequence[str] = (), mode: str = "rows",
-    init: DataFrame | None = None,
-) -> dict[str, str]:
-    """Generate, aggregate, plan and report: one site from a Scenario, or many from a
-    scenario table with key columns."""
-    if isinstance(scen, Scenario):
-        entities = spark.range(1).select(*(c.alias(n) for n, c in scen.as_columns().items()))
-    else:
-        entities = scen
-    keyed_by = StructType([entities.schema[key] for key in keys])
-    paths = generate_and_aggregate(
-        spark, entities, params, directory, start, weeks, seed, keys, mode
-    )
-    weekly, out = f"{directory}/weekly", f"{directory}/outputs"
-    paths.update(plan_and_write(spark, weekly, out, params, scen, weeks, keys, init))
-    paths.update(report_and_write(spark, weekly, out, params, weeks, keyed_by))
-    return paths

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from greenledger.functions.columns import noise_int, noise_normal, noise_uniform, seasonal
 from greenledger.operators import calendar as cal
-from greenledger.operators import synth
+from greenledger.operators import shares
 from greenledger.operators.rollup import disaggregate_observed, expand_counts, with_effective_yield
 from greenledger.plans import jobs
 from greenledger.plans.schedule import demand_trays, planned_demand
@@ -82,7 +82,7 @@ def _(i: Inputs):
 @query("tray_limit", f"SELECT facility, {rnd('tray_limit', 'tray_limit')}, "
                      f"target AS target_total_trays FROM limits")
 def _(i: Inputs):
-    return synth.tray_limit(i.facilities, i.params).select(
+    return shares.tray_limit(i.facilities, i.params).select(
         "facility", "tray_limit", "target_total_trays"
     )
 
@@ -90,7 +90,7 @@ def _(i: Inputs):
 @query("eligible_crops", "SELECT facility, week_id, crop FROM elig")
 def _(i: Inputs):
     grid = cal.crop_week_grid(i.params, SYNTH_WEEKS, i.facilities.select("facility"))
-    return synth.eligible(grid, i.params).select("facility", "week_id", "crop")
+    return shares.eligible(grid, i.params).select("facility", "week_id", "crop")
 
 
 #: Demand of each crop and week with its trays and its share of the week.
@@ -122,7 +122,7 @@ def _weights(i: Inputs):
     """Each crop's share of the pounds, and the trays, of its week."""
     totals = _observed(i).withColumn("weight", F.col("demand_lbs")).withColumn(
         "total_trays", F.sum("demand_trays_est").over(Window.partitionBy("week_id")))
-    return synth.normalized(totals, "weight", ["week_id"])
+    return shares.normalized(totals, "weight", ["week_id"])
 
 
 @query(
@@ -134,7 +134,7 @@ def _(i: Inputs):
 
 @query("apportion_integer", "SELECT week_id, crop, total_trays, trays::BIGINT AS trays FROM obs_split")
 def _(i: Inputs):
-    split = synth.apportion(_weights(i), "total_trays", "weight", ["week_id"])
+    split = shares.apportion(_weights(i), "total_trays", "weight", ["week_id"])
     return split.select("week_id", "crop", "total_trays", "trays")
 
 
@@ -197,7 +197,7 @@ def _(i: Inputs):
                          FROM tele_counts""")
 def _(i: Inputs):
     return i.telemetry_counts().select(
-        "date", "crop", "active_trays", synth.active_flag().alias("is_active")
+        "date", "crop", "active_trays", shares.active_flag().alias("is_active")
     )
 
 

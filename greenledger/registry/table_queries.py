@@ -8,7 +8,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType
 from greenledger.functions.columns import clamp
 from greenledger.operators import calendar as cal
 from greenledger.operators import densify, quality, rollup
-from greenledger.operators.synth import eligible
+from greenledger.operators.shares import eligible
 from greenledger.plans import ledger
 from greenledger.plans.schedule import demand_trays
 from greenledger.registry.base import query

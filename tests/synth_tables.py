@@ -1,4 +1,4 @@
-"""Synthetic raw tables, drawn per row by a keyed hash.
+"""Raw tables for the tests, drawn per row by a keyed hash.
 
 Every operator works for many facilities at once: ``entities`` is a table with the
 key columns and one scenario per row (see ``scenario_table``), and ``keys`` names
@@ -10,8 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from greenledger.functions.columns import (
     clamp,
@@ -23,12 +24,13 @@ from greenledger.functions.columns import (
     seasonal,
 )
 from greenledger.operators.calendar import cross_crops, cross_days, cross_weeks
+from greenledger.operators.shares import active_flag, apportion, normalized, tray_limit
+from greenledger.plans.jobs import aggregate_tables, plan_and_write, report_and_write
 from greenledger.session import spread
-from greenledger.sources.parameters import mean_crop_profile
+from greenledger.sources.parameters import Scenario
 from greenledger.sources.tables import write_table
 
 # Bounds of the demand shape.
-MIN_TARGET_TRAYS = 8
 DEMAND_NOISE_FLOOR = 0.55
 DEMAND_LIMIT_SHARE = 0.92
 DEMAND_JITTER = (0.8, 1.2)
@@ -54,50 +56,11 @@ def _cols(keys: Sequence[str]) -> list[Column]:
     return [F.col(k) for k in keys]
 
 
-def tray_limit(entities: DataFrame, params: DataFrame) -> DataFrame:
-    """Trays a week the tightest capacity allows, and the target for synthetic demand."""
-    profile = mean_crop_profile(params)
-    overtime = F.aggregate("overtime_block_hours", F.lit(0.0), lambda acc, h: acc + h)
-    sized = entities.withColumns(
-        {
-            "avg_grow_weeks": profile.select("avg_grow_weeks").scalar(),
-            "avg_labor_hours": profile.select("avg_labor_hours").scalar(),
-        }
-    ).withColumn(
-        "tray_limit",
-        clamp(
-            F.least(
-                F.col("rack_capacity_trays_per_week") / clamp(F.col("avg_grow_weeks"), 1.0),
-                F.col("base_process_capacity_trays_per_week"),
-                (F.col("base_labor_hours_per_week") + overtime)
-                / clamp(F.col("avg_labor_hours"), 1e-6),
-            ),
-            1.0,
-        ),
-    )
-    target = F.bround(F.col("tray_limit") * F.col("utilization_target")).cast("long")
-    return sized.withColumn(
-        "target_total_trays", clamp(target, F.lit(MIN_TARGET_TRAYS).cast("long"))
-    )
-
-
-def eligible(grid: DataFrame, params: DataFrame) -> DataFrame:
-    """Grid cells in which a crop planted in week 1 can already be harvested."""
-    return grid.join(params, "crop").filter(F.col("week_id") > F.col("g_min_weeks"))
-
-
 def base_weights(seed: int, tag: str, keys: Sequence[str]) -> Column:
     """A crop's share before normalization (fixed over the weeks)."""
     return noise_uniform(seed, tag, *_cols(keys), F.col("crop"))
 
 
-def normalized(df: DataFrame, weight: str, by: Sequence[str]) -> DataFrame:
-    """Scale weights to sum 1 in each group, or 0 where all are 0. A group is the crops
-    of one week, so a window never holds more rows than that."""
-    total = F.sum(weight).over(Window.partitionBy(*by))
-    return df.withColumn(weight, F.coalesce(F.try_divide(F.col(weight), total), F.lit(0.0)))
-
-
 def week_weights(
     cells: DataFrame, seed: int, tag: str, jitter: tuple[float, float], keys: Sequence[str],
     taking_part: Column | None = None,
@@ -119,29 +82,6 @@ def week_weights(
     return normalized(spread(cells, *week).withColumn("weight", weight), "weight", week)
 
 
-def apportion(
-    df: DataFrame, total: str, weight: str, by: Sequence[str], tie: str = "crop",
-    out: str = "trays",
-) -> DataFrame:
-    """Split an integer total over weights that sum to 1 by largest remainder; a weight
-    of 0 gets nothing."""
-    group = Window.partitionBy(*by)
-    whole = F.floor(F.col(total) * F.col(weight))
-    # The remainder is rounded so that equal shares tie, and the tie goes by name.
-    part = F.round(F.col(total) * F.col(weight) - whole, 9)
-    ranked = df.withColumns({"_whole": whole, "_part": part}).withColumns(
-        {
-            "_left": F.col(total) - F.sum("_whole").over(group),
-            "_rank": F.row_number().over(group.orderBy(F.desc("_part"), F.asc(tie))),
-        }
-    )
-    takes_one = (F.col("_rank") <= F.col("_left")) & (F.col(weight) > 0)
-    extra = F.when(takes_one, 1).otherwise(0)
-    return ranked.withColumn(out, (F.col("_whole") + extra).cast("long")).drop(
-        "_whole", "_part", "_left", "_rank"
-    )
-
-
 def weekly_total_trays(limits: DataFrame, weeks: int, seed: int, keys: Sequence[str]) -> DataFrame:
     """Demanded trays per week: target, season and noise, bounded by the limit."""
     noise = clamp(
@@ -270,10 +210,6 @@ def synth_telemetry_counts(
     )
 
 
-def active_flag() -> Column:
-    return F.col("active_trays") > 0
-
-
 def _age_ceiling() -> Column:
     return F.greatest(F.col("g_max_weeks") * 7, F.lit(2))
 
@@ -336,3 +272,33 @@ def generate(
         "telemetry_tray_daily": telemetry,
     }
     return {name: write_table(df, directory, name) for name, df in tables.items()}
+
+
+def generate_and_aggregate(
+    spark: SparkSession, entities: DataFrame, params: DataFrame, directory: str, start: str,
+    weeks: int, seed: int, keys: Sequence[str] = (), mode: str = "rows",
+) -> dict[str, str]:
+    """Generate the raw tables and roll them up, in one session."""
+    generate(spark, entities, params, f"{directory}/raw", start, weeks, seed, keys, mode)
+    return aggregate_tables(spark, f"{directory}/raw", f"{directory}/weekly", mode, keys)
+
+
+def run_all(
+    spark: SparkSession, directory: str, params: DataFrame, scen: Scenario | DataFrame,
+    start: str, weeks: int, seed: int, keys: Sequence[str] = (), mode: str = "rows",
+    init: DataFrame | None = None,
+) -> dict[str, str]:
+    """Generate, aggregate, plan and report: one site from a Scenario, or many from a
+    scenario table with key columns."""
+    if isinstance(scen, Scenario):
+        entities = spark.range(1).select(*(c.alias(n) for n, c in scen.as_columns().items()))
+    else:
+        entities = scen
+    keyed_by = StructType([entities.schema[key] for key in keys])
+    paths = generate_and_aggregate(
+        spark, entities, params, directory, start, weeks, seed, keys, mode
+    )
+    weekly, out = f"{directory}/weekly", f"{directory}/outputs"
+    paths.update(plan_and_write(spark, weekly, out, params, scen, weeks, keys, init))
+    paths.update(report_and_write(spark, weekly, out, params, weeks, keyed_by))
+    return paths

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+import synth_tables
 from greenledger.plans import jobs, selection
 from greenledger.sources import schemas
 from greenledger.sources.parameters import Scenario, initial_wip_table
@@ -16,7 +17,7 @@ WEEKS, SEED, START = 12, 20260225, "2026-01-05"
 @pytest.fixture(scope="module", params=["rows", "counts"])
 def run(request, spark, params, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("run"))
-    paths = jobs.run_all(spark, base, params, Scenario(), START, WEEKS, SEED, mode=request.param)
+    paths = synth_tables.run_all(spark, base, params, Scenario(), START, WEEKS, SEED, mode=request.param)
     return request.param, base, paths
 
 

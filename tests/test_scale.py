@@ -7,7 +7,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from greenledger.operators import synth
+import synth_tables as synth
 from greenledger.operators.calendar import restrict
 from greenledger.operators.rollup import rollup_demand
 from greenledger.plans import selection

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from greenledger.functions.columns import noise_int, noise_normal, noise_uniform
-from greenledger.operators import synth
+import synth_tables as synth
 from greenledger.sources.parameters import Scenario, scenario_table
 
 WEEKS, SEED, START = 12, 20260225, "2026-01-05"
