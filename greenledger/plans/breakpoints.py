@@ -15,7 +15,7 @@ from greenledger.plans.capacity import overtime_ceiling, shift_hours, with_shift
 from greenledger.sources.parameters import Scenario, attach_scenario
 
 #: Capacities that differ by less are one.
-PLACES = 6
+PLACES = 9
 
 
 def _running(keys: Sequence[str]):

@@ -29,7 +29,7 @@ def _choice(i: Inputs):
         FROM policies JOIN pol_best USING (policy)""",
 )
 def _(i: Inputs):
-    return _choice(i)
+    return _choice(i).filter("feasible")
 
 
 @query(
@@ -58,7 +58,7 @@ def _(i: Inputs):
 
 
 CTES["labor_corners"] = f"""
-    SELECT DISTINCT round(b, 6) AS base FROM (
+    SELECT DISTINCT round(b, 9) AS base FROM (
       SELECT unnest([0.0{D}, h_off, h_on, h_off - ceiling, h_on - ceiling,
                      h_off - (shift_cost - wage * (h_off - h_on)) / premium]) AS b FROM rv_in)
     WHERE b >= 0"""

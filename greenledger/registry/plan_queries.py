@@ -665,13 +665,13 @@ def _(i: Inputs):
 OFF_HALVES = 1e-6
 _LINE_VALUES = [
     ("weeks", f"{WEEKS}::INTEGER"), ("num_crops", "(SELECT count(*) FROM params)::INTEGER"),
-    ("total_demand_lbs", "d"), ("total_produced_lbs", "sum(produced_lbs)"), ("total_waste_lbs", "sum(waste_lbs)"),
+    ("total_demand_lbs", f"coalesce(d, 0.0{D})"), ("total_produced_lbs", "sum(produced_lbs)"), ("total_waste_lbs", "sum(waste_lbs)"),
     *((f"avg_{n}_utilization", f"avg({e})") for n, e in RATIOS.items()), ("total_cost", "sum(total_cost)"),
 ]
 _OFF = {"total": f" + {OFF_HALVES}{D}"}
 CTES["nat_summary"] = f"""
     SELECT facility, {', '.join(f'{e}{_OFF.get(n[:5], "")} AS {n}' for n, e in _LINE_VALUES)}
-    FROM nv_ev JOIN (SELECT facility, sum(demand_lbs) AS d FROM nat_facts GROUP BY facility) USING (facility)
+    FROM nv_ev LEFT JOIN (SELECT facility, sum(demand_lbs) AS d FROM nat_facts GROUP BY facility) USING (facility)
     GROUP BY facility, d"""
 CTES["nat_costs"] = "SELECT facility, " + ", ".join(
     f"sum({c}) + {OFF_HALVES}{D} AS {c}" for c in (*COST_NAMES, "total_cost")) + " FROM nv_ev GROUP BY facility"
