@@ -33,6 +33,9 @@ HEADLINE = (
     "scenario_sweep",
     "policy_sweep",
     "report_summary",
+    "labor_schedule",
+    "cost_cube",
+    "asof_price",
     "run_aggregate",
     "run_all",
 )
