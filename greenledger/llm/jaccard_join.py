@@ -52,7 +52,7 @@ LINK_PERCENT = 80
 #: The count sketch: rows of counters, and bits of a row's index.
 SKETCH_ROWS, SKETCH_BITS = 3, 17
 #: Documents, and shingles, of a cell that meet in one task.
-BLOCK_DOCS = 1500
+BLOCK_DOCS = 750
 BLOCK_SHINGLES = 3_000_000
 #: Tasks that as many documents, or shingles, of small cells are dealt over.
 SHARE = 8
@@ -367,8 +367,9 @@ def cells(members: DataFrame, percent: int) -> DataFrame:
         "cell", F.col("class") + F.when(F.col("own"), 0).otherwise(1)).drop("class")
 
 
-def in_tasks(placed: DataFrame, block_docs: int, block_shingles: int) -> DataFrame:
-    """Rows of cells with the tasks they go to: (.., blocks, block, task, low, high).
+def in_tasks(placed: DataFrame, block_docs: int, block_shingles: int) -> tuple[DataFrame, int]:
+    """Rows of cells with the tasks they go to, (.., blocks, block, task, low, high), and a
+    number of partitions for them: work does not follow bytes, so they must not be merged.
 
     A cell of one set, or without one of its own class, has nothing to compare and drops
     out. Small cells share a task; a large one is cut into blocks, and each two blocks meet.
@@ -384,9 +385,10 @@ def in_tasks(placed: DataFrame, block_docs: int, block_shingles: int) -> DataFra
     others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(
         F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("block")))
     cell = F.xxhash64("head", "cell")
-    return rows.withColumn("other", F.explode(others)).select(
+    dealt = rows.withColumn("other", F.explode(others)).select(
         "*", F.when(F.col("blocks") == 1, F.pmod(cell, F.lit(tasks))).otherwise(cell).alias("task"),
         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).drop("other")
+    return dealt, max(tasks, int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 TASK = ("task", "blocks", "low", "high")
@@ -397,13 +399,14 @@ def searched(members: DataFrame, docs: DataFrame, width: int, percent: int, bloc
     """(node, root, links): stars of the links inside each cell."""
     doc = ["doc_id", "tag"]
     placed = cells(members, percent)
-    sketched = in_tasks(placed, block_docs, block_shingles).join(members.select(*doc, "bits"), doc)
+    dealt, parts = in_tasks(placed, block_docs, block_shingles)
+    sketched = dealt.join(members.select(*doc, "bits"), doc).repartition(parts, *TASK)
     near = written(sketched.groupBy(*TASK).applyInPandas(_near(percent), NEAR).distinct())
-    left = in_tasks(placed.join(near, [*doc, "head", "cell"]), block_docs, block_shingles)
+    left, parts = in_tasks(placed.join(near, [*doc, "head", "cell"]), block_docs, block_shingles)
     at = ("head", "cell", "own", "block", *TASK)
     kept = left.groupBy(*doc).agg(F.collect_list(F.struct(*at)).alias("at"))
     texts = docs.join(kept.join(members.select(*doc, "heads"), doc), doc).dropDuplicates(doc)
-    rows = texts.select("doc_id", "heads", "text", F.inline("at"))
+    rows = texts.select("doc_id", "heads", "text", F.inline("at")).repartition(parts, *TASK)
     return rows.groupBy(*TASK).applyInPandas(_search(width, percent), FOUND)
 
 
