@@ -159,11 +159,15 @@ def issue_rack_or_process_exact(
 
 def feasibility_only(
     demand: DataFrame, params: DataFrame, scen: Scenario | DataFrame,
-    init: DataFrame | None = None,
+    init: DataFrame | None = None, keys: Sequence[str] = (),
 ) -> DataFrame:
-    """The pre-check in one row: status texts, a flag and how many issues there are."""
-    count = F.count(F.lit(1))
-    return issues_all(demand, params, scen, init).agg(
+    """The pre-check in one row (per key of the demand): status texts, a flag and how many
+    issues there are."""
+    found = issues_all(demand, params, scen, init, keys).select(*keys, F.lit(1).alias("n"))
+    if keys:  # a key without an issue has a row as well
+        found = found.unionByName(demand.select(*keys).distinct().withColumn("n", F.lit(0)))
+    count = F.coalesce(F.sum("n"), F.lit(0)).cast("long")
+    return found.groupBy(*keys).agg(
         F.lit("not_run").alias("solver_status"),
         F.when(count == 0, "feasible_precheck_passed")
         .otherwise("feasible_precheck_failed")

@@ -705,6 +705,30 @@ def _(i: Inputs):
     return selection.certify(_nation_weeks(i), FACILITY)
 
 
+CTES["nat_required"] = f"""
+    SELECT facility, week_id, sum(demand_lbs / eff) AS trays,
+           sum(demand_lbs / eff * (plant_hours_per_tray + harvest_hours_per_tray * 0.85{D})) AS hours
+    FROM nat_dense JOIN params USING (crop) GROUP BY ALL"""
+CTES["nat_issues"] = f"""
+    SELECT facility FROM nat_dense JOIN params USING (crop)
+    WHERE demand_lbs > 1e-6{D} AND week_id <= g_min_weeks
+    UNION ALL SELECT facility FROM nat_required CROSS JOIN nat_scen WHERE trays > process + 1e-6{D}
+    UNION ALL SELECT facility FROM nat_required CROSS JOIN nat_scen
+              WHERE hours > labor + list_sum(blocks) + 1e-6{D}"""
+
+
+@query(
+    "feasibility_by_facility",
+    """SELECT facility, 'not_run' AS solver_status, CASE WHEN n = 0 THEN 'feasible_precheck_passed'
+              ELSE 'feasible_precheck_failed' END AS termination_condition, n = 0 AS feasible, n AS issues
+       FROM (SELECT n_nationkey::INTEGER AS facility, (SELECT count(*) FROM nat_issues i
+                    WHERE i.facility = n_nationkey) AS n FROM nation)""",
+)
+def _(i: Inputs):
+    return feasibility.feasibility_only(
+        i.nation_demand, i.params, i.scenario(share=0.04), keys=FACILITY)
+
+
 # Whole runs ------------------------------------------------------------------------------------
 
 

@@ -190,9 +190,9 @@ def initial_wip_table(
     return nested.select("crop", F.explode("by_age").alias("age", "qty"))
 
 
-def has_initial(init: DataFrame) -> DataFrame:
-    """One row: is any positive initial stock configured."""
-    return init.agg(
+def has_initial(init: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One row (per key that has stock rows): is any positive initial stock configured."""
+    return init.groupBy(*keys).agg(
         F.coalesce(F.bool_or(F.col("qty") > 0), F.lit(False)).alias("has_initial_wip")
     )
 

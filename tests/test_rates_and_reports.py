@@ -11,8 +11,9 @@ from greenledger import session
 from greenledger.operators.calendar import week_grid
 from greenledger.operators.densify import densify_mean
 from greenledger.operators.rollup import expand_counts, join_price
-from greenledger.plans import jobs, schedule, selection
-from greenledger.sources import schemas
+from greenledger.operators import quality
+from greenledger.plans import feasibility, jobs, schedule, selection
+from greenledger.sources import parameters, schemas
 from greenledger.sources.parameters import Scenario, params_table, scenario_table
 from greenledger.sources.tables import read_csv
 
@@ -106,3 +107,23 @@ def test_scratch_folders_are_marked_for_removal(spark):
     folder = session.scratch_dir(spark)
     assert os.path.isdir(folder.removeprefix("file:"))
     assert folder != session.scratch_dir(spark)
+
+
+def test_keyed_checks(spark, params):
+    demand, _ = small(spark, 3)
+    demand = demand.withColumn("demand_lbs", F.when(
+        (F.col("facility") == 1) & (F.col("week_id") == 2), 9.0).otherwise(F.col("demand_lbs")))
+    got = {r["facility"]: (r["feasible"], r["issues"]) for r in feasibility.feasibility_only(
+        demand, params, Scenario(), keys=["facility"]).collect()}
+    assert got == {0: (True, 0), 1: (False, 1), 2: (True, 0)}
+    whole = feasibility.feasibility_only(demand.filter("facility = 0").drop("facility"), params, Scenario()).first()
+    assert whole["feasible"] and whole["issues"] == 0
+    prices = demand.select("facility", F.when(F.col("facility") == 2, 0.0).otherwise(0.1).alias("energy_price_per_kwh"))
+    broken = {(r["facility"], r["rule"]): r["violations"] for r in quality.range_violations(
+        demand, prices, ["facility"]).collect()}
+    assert broken == {**{(f, "demand_not_negative"): 0 for f in range(3)}, (0, "price_positive"): 0,
+                      (1, "price_positive"): 0, (2, "price_positive"): 8}
+    crops = spark.createDataFrame([(1, "kale"), (1, "fern"), (2, "kale")], "facility int, crop string")
+    assert [tuple(r) for r in quality.missing_params(crops, params, ["facility"]).collect()] == [(1, "fern")]
+    init = spark.createDataFrame([(1, 0), (2, 3)], "facility int, qty long")
+    assert {tuple(r) for r in parameters.has_initial(init, ["facility"]).collect()} == {(1, False), (2, True)}
