@@ -4,14 +4,16 @@ All of it is built-in functions and the DataFrame side of Spark ML.
 
 1. A sparse logistic regression over word 1- and 2-grams tells licence families from
    ordinary text. Its features are the grams of the templates that are rare in ordinary
-   text and hold a rare word; its examples are template sentences, whole and cut, against a bounded sample of
-   ordinary paragraphs of the corpus.
+   text and hold a rare word; its examples are template sentences, whole and cut, against the
+   distinct ordinary paragraphs of all documents. These are counted by the grams of the templates
+   that they hold, so the learner reads one weighted row for all that hold the same.
 2. Every paragraph (line) of every text is scored: its grams meet the weights by a
    broadcast join of that fixed-size table, so ordinary lines produce next to no rows.
 3. A family is named where its probability passes a threshold and enough of the grams of
-   one of its template sentences stand in the paragraph. The threshold is calibrated: above
-   what ordinary paragraphs of a second sample reach. A paragraph that passes half the
-   threshold, but not both tests, is ``unknown``.
+   one of its template sentences stand in the paragraph. The threshold is calibrated: what ordinary
+   paragraphs reach. One half of all, by hash, is learned from, the other calibrated on;
+   commonness counts both. A paragraph that passes half the threshold, but not both tests,
+   is ``unknown``.
 
 Defined cases: null and empty texts have no paragraph and no licence; equal paragraphs of
 a text count each; every document gives one row, repeated rows included; other columns
@@ -83,8 +85,9 @@ TEMPLATES = {
     ],
 }
 
-#: Ordinary documents learned from and calibrated on: those of least hash, so many at most.
-TRAIN_DOCS = 800
+#: Least weight of a template example, and how many times as much as all examples the ordinary
+#: paragraphs may weigh: beyond it the examples weigh more, so that no corpus drowns them.
+EXAMPLE_WEIGHT, ORDINARY_SHARE = 20.0, 3.0
 #: Share of distinct ordinary paragraphs from which a gram is no feature.
 COMMON = 0.005
 #: Share of the rare grams of a template sentence that a confirmed paragraph holds.
@@ -123,10 +126,10 @@ def templates(spark: SparkSession) -> DataFrame:
 
 def paragraphs(docs: DataFrame) -> DataFrame:
     """(doc_id, key, at, words) of every line with words; ``key`` stands for the text."""
+    # Words are made ahead of the explode: a filter above it cannot repeat that work.
     lines = docs.select("doc_id", F.xxhash64("text").alias("key"),
-                        F.posexplode(F.split("text", "\\n")).alias("at", "line"))
-    return lines.select("doc_id", "key", "at", tokens(F.col("line")).alias("words")).where(
-        F.size("words") > 0)
+                        F.posexplode(F.transform(F.split("text", "\\n"), tokens)).alias("at", "words"))
+    return lines.where(F.size("words") > 0)
 
 
 def with_grams(lines: DataFrame) -> DataFrame:
@@ -151,54 +154,57 @@ def licence_specific(sentences: list[list[str]]) -> Column:
     runs = sorted({" ".join(w[i : i + 3]) for w in sentences for i in range(len(w) - 2)})
     at = F.sequence(F.lit(1), F.greatest(F.size("words") - 2, F.lit(1)))
     triples = F.transform(at, lambda i: F.concat_ws(" ", F.slice("words", i, 3)))
-    return F.arrays_overlap(F.concat(grams(F.col("words")), triples), F.array(*map(F.lit, [*SPECIFIC, *runs])))
+    return F.exists(F.concat(grams(F.col("words")), triples), lambda g: g.isin([*SPECIFIC, *runs]))
 
 
-def ordinary_sample(docs: DataFrame, limit: int, sentences: list[list[str]]) -> DataFrame:
-    """(grams, half) of the distinct ordinary paragraphs of a bounded sample of documents.
+def ordinary_lines(docs: DataFrame, sentences: list[list[str]], wanted: list[str]) -> DataFrame:
+    """(half, grams, lines): how many distinct ordinary paragraphs of all documents hold which of ``wanted``.
 
     A repeated line counts once and a line with licence wording not at all, so that no
-    repetition makes the wording of a notice common.
+    repetition makes the wording of a notice common. A digest stands for the line, so
+    lines are shuffled without their words.
     """
-    chosen = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(limit)
-    # At most ``limit`` ids, so they may go to every task.
-    lines = paragraphs(docs.join(F.broadcast(chosen), "doc_id")).select("words").distinct()
-    return with_grams(lines.where(~licence_specific(sentences))).select(
-        "grams", F.pmod(F.xxhash64("grams"), F.lit(2)).alias("half"))
+    lines = paragraphs(docs).where(~licence_specific(sentences)).withColumn(
+        "line", F.unhex(F.md5(F.concat_ws(" ", "words"))))
+    return with_grams(lines).select(
+        "line", F.pmod(F.xxhash64("grams"), F.lit(2)).alias("half"),
+        F.array_sort(F.filter("grams", lambda g: g.isin(wanted))).alias("grams")).distinct().groupBy(
+        "half", "grams").agg(F.count("*").alias("lines"))
 
 
-def fit(docs: DataFrame, limit: int = TRAIN_DOCS) -> Model:
+def fit(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     known = templates(spark)
     sentences = sorted(known.collect(), key=lambda r: (r["family"], r["template"]))
     families = sorted(TEMPLATES)
-    sample = written(ordinary_sample(docs, limit, [r["words"] for r in sentences]))
-    n = sample.count()
-    wanted = known.select(F.explode("grams").alias("gram")).distinct()
-    common = sample.select(F.explode("grams").alias("gram")).join(F.broadcast(wanted), "gram").groupBy(
-        "gram").count().where(F.col("count") > max(1, COMMON * n)).select("gram")
-    rare = sorted(r["gram"] for r in wanted.join(common, "gram", "left_anti").collect())
+    wanted = sorted({g for r in sentences for g in r["grams"]})
+    counted = written(ordinary_lines(docs, [r["words"] for r in sentences], wanted))
+    n = counted.agg(F.sum("lines")).first()[0] or 0
+    common = counted.select(F.explode("grams").alias("gram"), "lines").groupBy("gram").agg(
+        F.sum("lines").alias("lines")).where(F.col("lines") > max(1, COMMON * n)).select("gram")
+    rare = sorted({*wanted} - {r["gram"] for r in common.collect()})
     words = [g for g in rare if " " not in g]
     rare = [g for g in rare if not set(g.split(" ")).isdisjoint(words)]
     own = [[g for g in r["grams"] if g in set(rare)] for r in sentences]
-    ordinary = written(sample.select("half", F.array_intersect(
-        "grams", F.array(*map(F.lit, rare))).alias("grams"), F.lit(0.0).alias("label")))
+    ordinary = written(counted.withColumn("grams", F.filter("grams", lambda g: g.isin(rare))).groupBy(
+        "half", "grams").agg(F.sum("lines").cast("double").alias("weight")).withColumn("label", F.lit(0.0)))
 
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double")
     size = F.size("words")
     middle = F.greatest(F.ceil(size / 2).cast("int"), F.lit(4))
     cuts = F.array("words", F.slice("words", F.lit(1), middle),
                    F.slice("words", F.greatest(size - middle + 1, F.lit(1)), middle))
+    learned = ordinary.where("half = 0").select("grams", "label", "weight")
+    total = learned.agg(F.sum("weight")).first()[0] or 0.0
+    weight = max(EXAMPLE_WEIGHT, total / (ORDINARY_SHARE * len(sentences) * 3))  # three cuts each
     examples = known.select(label.alias("label"), F.explode(cuts).alias("words")).select(
-        F.explode(F.sequence(F.lit(1), F.lit(20))).alias("copy"), grams(F.col("words")).alias("grams"),
-        "label").select("grams", "label")
-    train = examples.unionByName(ordinary.where("half = 0").select("grams", "label"))
+        grams(F.col("words")).alias("grams"), "label", F.lit(weight).alias("weight"))
     vector = CountVectorizerModel.from_vocabulary(rare, inputCol="grams", outputCol="features")
     vector.setBinary(True)
     fitted = LogisticRegression(
         family="multinomial", regParam=REGULARISATION, elasticNetParam=SPARSENESS,
-        standardization=False, maxIter=50).fit(vector.transform(train.coalesce(1)))
+        standardization=False, maxIter=50, weightCol="weight").fit(
+        vector.transform(examples.coalesce(1).unionByName(learned)))
     weights = fitted.coefficientMatrix.toArray()
     rows = [(g, [float(w) for w in weights[:, k]], [int(g in o) for o in own])
             for k, g in enumerate(rare)]
