@@ -149,12 +149,26 @@ class Model:
     threshold: float = 0.0
 
 
+def held_grams(words: Column, wanted: list[str]) -> Column:
+    """The distinct ones of ``wanted`` among all words and runs of two or three neighbours, in order.
+
+    Runs are joined only where a first word of a wanted run stands.
+    """
+    held = [F.filter(words, lambda w: w.isin([g for g in wanted if " " not in g]))]
+    for size in (2, 3):
+        runs = [g for g in wanted if g.count(" ") == size - 1]
+        firsts = sorted({g.split(" ")[0] for g in runs})
+        if runs:
+            at = F.transform(words, lambda w, i: F.when(
+                w.isin(firsts), F.concat_ws(" ", F.slice(words, i + 1, size))).otherwise(""))
+            held.append(F.filter(at, lambda g: g.isin(runs)))
+    return F.array_sort(F.array_distinct(F.concat(*held)))
+
+
 def licence_specific(sentences: list[list[str]]) -> Column:
     """Whether ``words`` hold a specific word or pair, or three neighbouring words of a sentence."""
     runs = sorted({" ".join(w[i : i + 3]) for w in sentences for i in range(len(w) - 2)})
-    at = F.sequence(F.lit(1), F.greatest(F.size("words") - 2, F.lit(1)))
-    triples = F.transform(at, lambda i: F.concat_ws(" ", F.slice("words", i, 3)))
-    return F.exists(F.concat(grams(F.col("words")), triples), lambda g: g.isin([*SPECIFIC, *runs]))
+    return F.size(held_grams(F.col("words"), [*SPECIFIC, *runs])) > 0
 
 
 def ordinary_lines(docs: DataFrame, sentences: list[list[str]], wanted: list[str]) -> DataFrame:
@@ -164,12 +178,10 @@ def ordinary_lines(docs: DataFrame, sentences: list[list[str]], wanted: list[str
     repetition makes the wording of a notice common. A digest stands for the line, so
     lines are shuffled without their words.
     """
-    lines = paragraphs(docs).where(~licence_specific(sentences)).withColumn(
-        "line", F.unhex(F.md5(F.concat_ws(" ", "words"))))
-    return with_grams(lines).select(
-        "line", F.pmod(F.xxhash64("grams"), F.lit(2)).alias("half"),
-        F.array_sort(F.filter("grams", lambda g: g.isin(wanted))).alias("grams")).distinct().groupBy(
-        "half", "grams").agg(F.count("*").alias("lines"))
+    lines = paragraphs(docs).where(~licence_specific(sentences)).select(
+        F.unhex(F.md5(F.concat_ws(" ", "words"))).alias("line"),
+        F.pmod(F.xxhash64("words"), F.lit(2)).alias("half"), held_grams(F.col("words"), wanted).alias("grams"))
+    return lines.distinct().groupBy("half", "grams").agg(F.count("*").alias("lines"))
 
 
 def fit(docs: DataFrame) -> Model:
