@@ -24,12 +24,12 @@ def test_every_document_is_learned_from(spark):
     ids = spark.range(1000).select(F.col("id").alias("doc_id"))
     order = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
     rows = [(d, f"erin ouat {d}") for d in order]
-    # Words of templates, none of them three in a row from one; the document of greatest hash holds them.
-    near = [f"foundation software attribution {k} international published terms" for k in range(4)]
+    # The document of greatest hash holds as many ordinary lines as half of all others.
+    near = [f"erin {k} ouat" for k in range(500)]
     without, model = (licences.fit(spark.createDataFrame(r, "doc_id long, text string"))
                       for r in (rows, [*rows[:-1], (order[-1], "\n".join(near))]))
     assert without.words == model.words
-    assert max(abs(a - b) for a, b in zip(without.intercepts, model.intercepts, strict=True)) > 1e-4
+    assert max(abs(a - b) for a, b in zip(without.intercepts, model.intercepts, strict=True)) > 0.01
 
 
 def test_many_ordinary_lines_drown_no_licence(spark):
